@@ -64,7 +64,7 @@ def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
 def create_upsert_table(df: DataFrame, table: str, key: str, buckets: int = 256) -> None:
     """A table partitioned by a hash of ``key``, for ``upsert_table``."""
     (
-        with_bucket(df, key, buckets).repartition(BUCKET)
+        with_bucket(df, key, buckets).hint("rebalance", F.col(BUCKET))
         .write.mode("overwrite").format("parquet").partitionBy(BUCKET).saveAsTable(table)
     )
 
@@ -81,7 +81,7 @@ def upsert_table(
     columns = spark.read.table(table).columns
     merged = stage(replace_by_key(
         old, with_bucket(new, key, buckets).select(*columns), key, processed=processed))
-    writer = merged.repartition(BUCKET).write.mode("overwrite")
+    writer = merged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").insertInto(table)
     kept = {row[0] for row in merged.select(BUCKET).distinct().collect()}
     present = {row[0] for row in old.select(BUCKET).distinct().collect()}
