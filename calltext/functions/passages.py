@@ -21,7 +21,8 @@ MONTHS = [
     "August", "September", "October", "November", "December",
 ]
 MONTH = "(?:" + "|".join(MONTHS + [month[:3] + r"\.?" for month in MONTHS]) + ")"
-NUMBER = rf"(?:{MONTH}{SPACE}+)?[0-9][0-9,\.]*"
+# The look-ahead only lets most characters fail at once.
+NUMBER = rf"(?=[ADFJMNOS0-9])(?:{MONTH}{SPACE}+)?[0-9][0-9,\.]*"
 MONTH_OR_YEAR = rf"^(?:{MONTH}|[0-9]{{4}})"
 
 # Forward-looking stems, and the past forms that cancel them.

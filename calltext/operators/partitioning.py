@@ -1,0 +1,15 @@
+"""Spreading inputs that come in too few pieces."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle a scan with fewer partitions than the cluster has cores, by ``keys``.
+
+    Text work is bound by the processor, and a table written as one row group gives one task. Tables
+    of many row groups are returned as they are, so nothing large is shuffled.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df

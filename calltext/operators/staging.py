@@ -5,6 +5,11 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+# Most that is sent to every executor on request, as text length plus eight bytes per value.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -23,3 +28,18 @@ def stage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="calltext-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Stage ``df``, measure it, and mark it for broadcast only when it is within ``limit``.
+
+    Beyond the limit the join that uses it shuffles both sides, and adaptive execution splits the
+    partitions of very frequent keys.
+    """
+    df = stage(df)
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    size = F.lit(8 * len(df.columns))
+    for name in texts:
+        size = size + F.coalesce(F.octet_length(name), F.lit(0))
+    total = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= limit else df

@@ -56,22 +56,32 @@ def executive_speakers(speaker_data: DataFrame, overrides: DataFrame) -> DataFra
     return not_in(speakers, overrides.select(*SPEAKER), SPEAKER)
 
 
-def executives_on_calls(executives: DataFrame, matched_calls: DataFrame) -> DataFrame:
-    """Executives of the firms on each call, from the latest firm-year of each that fits the call,
-    with upper-case name parts."""
+def executives_on_calls(
+    executives: DataFrame, matched_calls: DataFrame, last_names: DataFrame
+) -> DataFrame:
+    """Executives of the firms on each call whose last name is asked for there, with upper-case
+    name parts. Each executive of a firm counts in the latest firm-year that fits the call.
+
+    ``last_names`` holds ``file_name, last_name``. The name is a hash key of the first join, so the
+    full staff of a firm is never listed for each of its calls.
+    """
     ids = ["file_name", "equilar_id", "equilar_executive_id"]
+    firms = matched_calls.select("file_name", "equilar_id", "fy_end").distinct()
+    name = parse_name("executive")
+    named = executives.withColumns({
+        "first_name": F.upper(name["first_name"]), "last_name": F.upper(name["last_name"])})
+    asked = stage(
+        last_names.select("file_name", "last_name").distinct().join(firms, "file_name")
+        .join(named, ["equilar_id", "fy_end", "last_name"])
+        .select(*ids, "fy_end", "executive", "first_name", "last_name"))
+    # An executive may have had another name in a later year, so years are compared by id.
     latest = (
-        executives.select("equilar_id", "fy_end", "equilar_executive_id")
-        .join(matched_calls.select("file_name", "equilar_id", "fy_end"), ["equilar_id", "fy_end"])
+        asked.select(*ids).distinct().join(firms, ["file_name", "equilar_id"])
+        .join(executives.select("equilar_id", "fy_end", "equilar_executive_id").distinct(),
+              ["equilar_id", "fy_end", "equilar_executive_id"])
         .groupBy(*ids).agg(F.max("fy_end").alias("fy_end"))
     )
-    name = parse_name("executive")
-    return (
-        executives.withColumns({
-            "first_name": F.upper(name["first_name"]), "last_name": F.upper(name["last_name"])})
-        .join(latest, ["equilar_id", "equilar_executive_id", "fy_end"])
-        .select(*ids, "fy_end", "executive", "first_name", "last_name")
-    )
+    return asked.join(latest, [*ids, "fy_end"])
 
 
 def link_executives(
@@ -82,22 +92,21 @@ def link_executives(
 
     ``ambiguous`` marks speakers with more than one row; every version of a call repeats its rows.
     """
+    speaker = parse_name("speaker_name")
+    speakers = stage(
+        executive_speakers(speaker_data, overrides)
+        .withColumns({"first_name": F.upper(speaker["first_name"]),
+                      "last_name": F.upper(speaker["last_name"])}))
+    with_speakers = calls.join(speakers.select("file_name").distinct(), "file_name", "left_semi")
     matched_calls = stage(
-        calls_in_firm_years(calls, link, firm_year_ids(firm_years, stocknames)))
+        calls_in_firm_years(with_speakers, link, firm_year_ids(firm_years, stocknames)))
     columns = ["equilar_executive_id", "equilar_id", "executive", "fy_end"]
     everyone = executives.select(*columns).unionByName(executives_nd.select(*columns)).distinct()
-    candidates = stage(executives_on_calls(everyone, matched_calls))
+    candidates = stage(executives_on_calls(everyone, matched_calls, speakers))
     names = candidates.select(
         "file_name", "fy_end", "executive", "equilar_executive_id",
         F.col("first_name").alias("__first"), F.col("last_name").alias("__last"))
-
-    speaker = parse_name("speaker_name")
-    speakers = (
-        executive_speakers(speaker_data, overrides)
-        .withColumns({"first_name": F.upper(speaker["first_name"]),
-                      "last_name": F.upper(speaker["last_name"])})
-        .join(matched_calls, "file_name")
-    )
+    speakers = speakers.join(matched_calls, "file_name")
     same_last = F.col("__last") == F.col("last_name")
     same_name = same_last & (F.col("__first") == F.col("first_name"))
 

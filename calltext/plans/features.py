@@ -1,7 +1,7 @@
 """Word-based features of passages.
 
-Passages are split into tokens and the tokens looked up in a lexicon table, which Spark broadcasts
-while it is small. Only hits and one marker per passage go on, so the shuffle carries counts and
+Passages are split into tokens and the tokens looked up in a lexicon table, which is broadcast after
+a check of its size. Only hits and one marker per passage go on, so the shuffle carries counts and
 never text. Rows are grouped by the columns carried along and a digest of the text; identical rows
 fall into one group, and the number of markers tells how many there were.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from calltext.functions.passages import number_count, sentences, tokens, words
 from calltext.operators.incremental import of_todo_files, replace_by_key
+from calltext.operators.staging import broadcast_if_small
 from calltext.schemas import LINGUISTIC_FEATURES, TONE_CATEGORIES
 
 _MARKER = ""  # no token is empty
@@ -23,16 +24,17 @@ _MARKER = ""  # no token is empty
 def _exploded(passages: DataFrame, carry: Sequence[str], text: str, items: Column) -> DataFrame:
     """One row per item and one with the marker, as ``carry..., __digest, __pos, __word``."""
     marked = F.concat(F.array(F.lit(_MARKER)), F.coalesce(items, F.array().cast("array<string>")))
-    return passages.select(
-        *carry, F.unhex(F.sha2(text, 256)).alias("__digest"),
-        F.posexplode(marked).alias("__pos", "__word"),
-    )
+    # The digest is a column of its own first, or it would be taken again for every item.
+    digested = passages.select(
+        *carry, F.unhex(F.sha2(text, 256)).alias("__digest"), marked.alias("__items"))
+    return digested.select(*carry, "__digest", F.posexplode("__items").alias("__pos", "__word"))
 
 
 def _with_marker(lexicon: DataFrame) -> DataFrame:
-    """The lexicon and a row for the marker with NULL in the other columns."""
+    """The lexicon and a row for the marker with NULL in the other columns, broadcast if small."""
     marker = lexicon.sparkSession.range(1).select(F.lit(_MARKER).alias("word"))
-    return lexicon.filter(F.col("word") != _MARKER).unionByName(marker, allowMissingColumns=True)
+    return broadcast_if_small(
+        lexicon.filter(F.col("word") != _MARKER).unionByName(marker, allowMissingColumns=True))
 
 
 def _copies(df: DataFrame) -> DataFrame:

@@ -11,11 +11,17 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from calltext.operators.partitioning import spread
+from calltext.operators.staging import stage
+
 BASE = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
+# Tables of texts, which the feature queries work through.
+TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id"}
+
 FIRST_NAMES = ["Jan", "John Q.", "Juan", "Ann", "Lee-Anne", "Hans", "Mary Lou"]
 LAST_NAMES = [
     "van Beek", "Public", "de la Cruz", "Lee", "van Evans", "Smith Jr.", "Stone, Jr", "de Souza",
@@ -43,8 +49,8 @@ VIEWS = {
     # -- calls ---------------------------------------------------------------------------------
     "call_rows": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, p_name,
-               CAST(floor(o_orderkey / 3) AS BIGINT) AS n, p_partkey % 97 AS k,
-               (p_partkey + 1) % 97 AS k_next,
+               CAST(floor(o_orderkey / 3) AS BIGINT) AS n,
+               (p_partkey % 97) * 7919 % 9973 AS k, ((p_partkey + 1) % 97) * 7919 % 9973 AS k_next,
                'F' || CAST(floor(o_orderkey / 3) AS BIGINT) AS file_name,
                o_orderdate AS last_update
         FROM {orders} JOIN {part} ON p_partkey = o_custkey""",
@@ -69,7 +75,7 @@ VIEWS = {
                CAST(last_update AS TIMESTAMP) AS start_date, 'T' || k_next AS company_ticker
         FROM {call_rows} WHERE o_orderpriority = '5-LOW'""",
     "stocknames": """
-        SELECT CAST(10000 + p_partkey AS INT) AS permno, 'T' || (p_partkey % 97) AS ticker,
+        SELECT CAST(10000 + p_partkey AS INT) AS permno, 'T' || ((p_partkey % 97) * 7919 % 9973) AS ticker,
                upper(CASE p_partkey % 5 WHEN 0 THEN p_name || ' inc'
                      WHEN 1 THEN replace(p_name, 'e', 'a') ELSE p_name END) AS comnam,
                lpad(CAST(p_partkey AS STRING), 8, '0') AS cusip,
@@ -174,9 +180,10 @@ VIEWS = {
     "exec_overrides": """
         SELECT DISTINCT file_name, speaker_name, 'Executive ' || speaker_number AS executive,
                CAST(length(speaker_name) % 50 AS BIGINT) AS equilar_id,
-               CAST(length(speaker_name) % 50 + 50 * speaker_number AS BIGINT)
-                   AS equilar_executive_id,
-               'manual' AS match_type, speaker_number <> 5 AS good_match, employer AS comments
+               CAST(length(speaker_name) % 50 + CASE WHEN speaker_number = 3 THEN 100
+                    ELSE 10000000 * speaker_number END AS BIGINT) AS equilar_executive_id,
+               'manual' AS match_type, length(speaker_name) % 9 <> 0 AS good_match,
+               employer AS comments
         FROM {speaker_data} WHERE context = 'qa' AND speaker_number IN (3, 4, 5)""",
     "management": f"""
         SELECT CAST(p_partkey % 50 AS BIGINT) AS company_id,
@@ -189,7 +196,7 @@ VIEWS = {
     "id_sheet": """
         SELECT file_name, speaker_name, equilar_id AS company_id,
                equilar_executive_id AS management_id,
-               CAST(CASE WHEN good_match THEN 900000 + equilar_executive_id END AS BIGINT)
+               CAST(CASE WHEN length(speaker_name) % 3 = 0 THEN 900000 + equilar_executive_id END AS BIGINT)
                    AS executive_id
         FROM {exec_overrides} WHERE executive = 'Executive 4'""",
     "exec_link": """
@@ -198,7 +205,12 @@ VIEWS = {
                CAST(500000 + length(speaker_name) % 50 + 50 * (speaker_number % 3) AS BIGINT)
                    AS executive_id,
                file_name, speaker_name
-        FROM {speaker_data} WHERE role = 'Chief Executive Officer'""",
+        FROM {speaker_data} WHERE role = 'Chief Executive Officer'
+        UNION ALL
+        SELECT CAST(length(speaker_name) % 50 AS BIGINT) AS company_id,
+               CAST(500050 + length(speaker_name) % 50 AS BIGINT) AS executive_id,
+               file_name, speaker_name
+        FROM {speaker_data} WHERE role = 'Chief Executive Officer' AND context = 'pres'""",
     "name_pairs": """
         SELECT substr(p_name, 1, 3) AS fname_alt, p_name AS first_name, p_size > 25 AS valid
         FROM {part}""",
@@ -263,9 +275,11 @@ class Tables:
 
     def _load(self, name: str) -> DataFrame:
         if name in BASE:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return spread(table, TEXT_KEYS[name]) if name in TEXT_KEYS else table
         sql = SPARK_ONLY[name] if name in SPARK_ONLY else VIEWS[name]
-        return self.spark.sql(sql, **{dep: self[dep] for dep in _inputs(sql)})
+        view = self.spark.sql(sql, **{dep: self[dep] for dep in _inputs(sql)})
+        return stage(view) if name == "vocabulary" else view
 
 
 def with_views(sql: str) -> str:
