@@ -27,7 +27,10 @@ def _exploded(passages: DataFrame, carry: Sequence[str], text: str, items: Colum
     # The digest is a column of its own first, or it would be taken again for every item.
     digested = passages.select(
         *carry, F.unhex(F.sha2(text, 256)).alias("__digest"), marked.alias("__items"))
-    return digested.select(*carry, "__digest", F.posexplode("__items").alias("__pos", "__word"))
+    # The outer form: for the inner one the optimizer adds a check for empty arrays next to the
+    # scan, which would split every text twice. The marker keeps the array from being empty.
+    return digested.select(
+        *carry, "__digest", F.posexplode_outer("__items").alias("__pos", "__word"))
 
 
 def _with_marker(lexicon: DataFrame) -> DataFrame:

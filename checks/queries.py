@@ -402,7 +402,8 @@ def comp_intensity_joined(t):
 @query
 def sentence_split(t):
     return t["documents"].select(
-        "doc_id", F.posexplode(passages.sentences("text")).alias("pos", "sentence"))
+        "doc_id", F.posexplode_outer(passages.sentences("text")).alias("pos", "sentence")
+    ).filter(F.col("pos").isNotNull())
 
 
 @query

@@ -227,8 +227,10 @@ VIEWS = {
 
 SPARK_ONLY = {
     "vocabulary": r"""
-        SELECT DISTINCT explode(regexp_extract_all(text, r'[\p{{L}}\p{{N}}_]+', 0)) AS word
-        FROM {documents}""",
+        SELECT DISTINCT word FROM (
+            SELECT explode_outer(regexp_extract_all(text, r'[\p{{L}}\p{{N}}_]+', 0)) AS word
+            FROM {documents})
+        WHERE word IS NOT NULL""",
     "pronunciations": """
         WITH plain AS (SELECT DISTINCT lower(word) AS word FROM {vocabulary}),
         first AS (
