@@ -54,10 +54,15 @@ def tone_pattern_count(text: Column | str, words: Sequence[str]) -> Column:
     return F.regexp_count(text, F.lit(rf"(?<!{W})(?:{'|'.join(words)})(?!{W})"))
 
 
-def sentences(text: Column | str) -> Column:
-    """Sentences, ended by ``. ! ?`` and white space. Abbreviations are not told apart."""
+def sentences(text: Column | str, abbreviations: Sequence[str] = ()) -> Column:
+    """Sentences, ended by ``. ! ?`` and white space, but not after a listed abbreviation such as
+    ``Mr`` (written without its full stop)."""
+    if abbreviations:
+        known = rf"(?<!{W})({'|'.join(abbreviations)})\.(?={SPACE})"
+        text = F.regexp_replace(text, known, "$1\u0002")
     marked = F.regexp_replace(text, rf"([.!?]){SPACE}+", "$1\u0001")
-    return F.filter(F.split(marked, "\u0001"), lambda sentence: sentence != "")
+    parts = F.filter(F.split(marked, "\u0001"), lambda sentence: sentence != "")
+    return F.transform(parts, lambda s: F.translate(s, "\u0002", ".")) if abbreviations else parts
 
 
 def forward_looking_share(

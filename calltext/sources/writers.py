@@ -81,9 +81,15 @@ def upsert_table(
     columns = spark.read.table(table).columns
     merged = stage(replace_by_key(
         old, with_bucket(new, key, buckets).select(*columns), key, processed=processed))
-    writer = merged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").insertInto(table)
+    # insertInto reads the mode from the session only.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        merged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, previous)
+    # Overwriting leaves a partition alone that gets no rows, so emptied ones are dropped.
     kept = {row[0] for row in merged.select(BUCKET).distinct().collect()}
-    present = {row[0] for row in old.select(BUCKET).distinct().collect()}
-    for number in sorted((present & set(numbers)) - kept):
+    for number in sorted(set(numbers) - kept):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET} = {number})")

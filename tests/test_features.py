@@ -105,6 +105,10 @@ def test_sentences(spark):
     assert one(spark, p.sentences("speaker_text"), "One. Two!\nThree? Four") == [
         "One.", "Two!", "Three?", "Four"]
     assert one(spark, p.sentences("speaker_text"), "") == []
+    text = "Thank you, Mr. Lee. Ask Dr. No."
+    assert len(one(spark, p.sentences("speaker_text"), text)) == 4
+    assert one(spark, p.sentences("speaker_text", ["Mr", "Dr"]), text) == [
+        "Thank you, Mr. Lee.", "Ask Dr. No."]
 
 
 def test_words(spark):
