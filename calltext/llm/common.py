@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,10 +82,36 @@ def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
     yield text[at:]
 
 
-def text_hashes(text: bytes) -> np.ndarray:
-    """Hashes of all words of one text."""
-    found = [hashed_words(np.frombuffer(p, dtype=np.uint8))[2] for p in pieces(text)]
-    return found[0] if len(found) == 1 else np.concatenate(found)
+def all_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``hashed_words`` of a text of any length, a piece at a time."""
+    if len(text) <= 2 * PIECE_BYTES:
+        return hashed_words(np.frombuffer(text, dtype=np.uint8))
+    at, found = 0, []
+    for piece in pieces(text):
+        starts, ends, hashes = hashed_words(np.frombuffer(piece, dtype=np.uint8))
+        found.append((starts + at, ends + at, hashes))
+        at += len(piece)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def joined_words(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts joined by line ends, with starts, ends and hashes of all words, and where each text's
+    words begin among them (one more number than texts)."""
+    data = b"\n".join(texts)
+    starts, ends, hashes = all_words(data)
+    lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
+    first = np.searchsorted(starts, np.concatenate(([0], np.cumsum(lengths))))
+    return data, starts, ends, hashes, first
+
+
+def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Karp-Rabin hashes of all windows of ``n`` neighbours, scrambled."""
+    if len(hashes) < n:
+        return np.empty(0, dtype=np.uint64)
+    total = np.zeros(len(hashes) - n + 1, dtype=np.uint64)
+    for j in range(n):
+        total = total * np.uint64(_BASE) + hashes[j:len(hashes) - n + 1 + j]
+    return mix(total)
 
 
 def text_batches(
@@ -94,7 +121,7 @@ def text_batches(
     a null text is empty."""
     for batch in batches:
         texts = batch.column(column)
-        size = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(
+        size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(
             zero_copy_only=False)
         mark = np.cumsum(size) // limit
         cuts = [0, *(np.flatnonzero(mark[1:] != mark[:-1]) + 1).tolist(), batch.num_rows]

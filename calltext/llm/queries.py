@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltext.llm import mixing, sharding
+from calltext.llm import decontamination, mixing, quality, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_benchmark_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the share of its words they cover."""
+    found = decontamination.contaminated(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "item_id", "item_words", "covered", F.size("tiles").cast("long").alias("n_tiles"))
+
+
 def op5_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with how many of its words the mix takes."""
     plan = mixing.curriculum(_table(spark, folder, "documents"))
@@ -20,9 +28,16 @@ def op5_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("size") * F.col("passes")).alias("taken"))
 
 
+def op8_adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its measures and verdict."""
+    return quality.judged(_table(spark, folder, "documents")).select(
+        F.col("_key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept")
+
+
 def op10_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its shard and slot."""
     return sharding.shard_by_bytes(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_curriculum_mix, op10_minimax_shards)}
+QUERIES = {f.__name__: f for f in (op4_benchmark_tiling, op5_curriculum_mix, op8_adaptive_quality, op10_minimax_shards)}
