@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltext.llm import decontamination, mixing, quality, sharding
+from calltext.llm import decontamination, mixing, privacy, quality, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,19 @@ def op5_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("size") * F.col("passes")).alias("taken"))
 
 
+def op7_disclosing_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its personal data and the terms that disclose it."""
+    found = privacy.sensitive_spans(_table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(privacy.KINDS))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = {f"n_{k}": (F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long")
+              for i, k in enumerate(privacy.KINDS)}
+    return found.select(
+        F.col("_key").alias("doc_id"), *(c.alias(n) for n, c in counts.items()),
+        F.sha2(privacy.as_text(base), 256).alias("base_sha256"),
+        privacy.as_text(F.col("spans")).alias("spans"))
+
+
 def op8_adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its measures and verdict."""
     return quality.judged(_table(spark, folder, "documents")).select(
@@ -40,4 +53,4 @@ def op10_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_benchmark_tiling, op5_curriculum_mix, op8_adaptive_quality, op10_minimax_shards)}
+QUERIES = {f.__name__: f for f in (op4_benchmark_tiling, op5_curriculum_mix, op7_disclosing_terms, op8_adaptive_quality, op10_minimax_shards)}
