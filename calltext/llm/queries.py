@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltext.llm import decontamination, mixing, privacy, quality, sharding, substrings
+from calltext.llm import decontamination, mixing, privacy, quality, sharding, simhash, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +34,12 @@ def op5_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("size") * F.col("passes")).alias("taken"))
 
 
+def op6_simhash_planes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its fingerprint and the least document of its component."""
+    return simhash.near_components(_table(spark, folder, "documents")).select(
+        "doc_id", F.col("print").alias("fingerprint"), F.col("first").alias("component_id"))
+
+
 def op7_disclosing_terms(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its personal data and the terms that disclose it."""
     found = privacy.sensitive_spans(_table(spark, folder, "documents"))
@@ -59,4 +65,4 @@ def op10_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_super_kmer_dedup, op4_benchmark_tiling, op5_curriculum_mix, op7_disclosing_terms, op8_adaptive_quality, op10_minimax_shards)}
+QUERIES = {f.__name__: f for f in (op3_super_kmer_dedup, op4_benchmark_tiling, op5_curriculum_mix, op6_simhash_planes, op7_disclosing_terms, op8_adaptive_quality, op10_minimax_shards)}
