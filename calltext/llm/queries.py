@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltext.llm import decontamination, mixing, privacy, quality, sharding, simhash, substrings
+from calltext.llm import decontamination, lines, mixing, privacy, quality, sharding, simhash, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the chunks of lines that stand elsewhere before."""
+    return lines.without_repeated_chunks(_table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_super_kmer_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the passages that earlier documents hold."""
     return substrings.without_repeats(_table(spark, folder, "documents")).select(
@@ -65,4 +71,6 @@ def op10_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_super_kmer_dedup, op4_benchmark_tiling, op5_curriculum_mix, op6_simhash_planes, op7_disclosing_terms, op8_adaptive_quality, op10_minimax_shards)}
+QUERIES = {f.__name__: f for f in (
+    op2_line_chunks, op3_super_kmer_dedup, op4_benchmark_tiling, op5_curriculum_mix,
+    op6_simhash_planes, op7_disclosing_terms, op8_adaptive_quality, op10_minimax_shards)}
