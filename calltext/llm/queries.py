@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltext.llm import decontamination, lines, mixing, privacy, quality, sharding, simhash, substrings
+from calltext.llm import classifier, decontamination, lines, mixing, privacy, quality, sharding, simhash, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op8_adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
         "n_repeat_words", "base_failed", "kept")
 
 
+def op9_cotrained_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its quality by both views and together."""
+    return classifier.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op10_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its shard and slot."""
     return sharding.shard_by_bytes(_table(spark, folder, "documents"))
@@ -73,4 +78,5 @@ def op10_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op2_line_chunks, op3_super_kmer_dedup, op4_benchmark_tiling, op5_curriculum_mix,
-    op6_simhash_planes, op7_disclosing_terms, op8_adaptive_quality, op10_minimax_shards)}
+    op6_simhash_planes, op7_disclosing_terms, op8_adaptive_quality,
+    op9_cotrained_quality, op10_minimax_shards)}
