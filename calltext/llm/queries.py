@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltext.llm import classifier, decontamination, lines, mixing, privacy, quality, sharding, simhash, substrings
+from calltext.llm import classifier, decontamination, lines, mixing, privacy, quality, sharding, simhash, substrings, urls
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_segmented_hosts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page with its verdict."""
+    return urls.judged(_table(spark, folder, "pages"))
+
+
 def op2_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the chunks of lines that stand elsewhere before."""
     return lines.without_repeated_chunks(_table(spark, folder, "documents")).select(
@@ -77,6 +82,6 @@ def op10_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_line_chunks, op3_super_kmer_dedup, op4_benchmark_tiling, op5_curriculum_mix,
+    op1_segmented_hosts, op2_line_chunks, op3_super_kmer_dedup, op4_benchmark_tiling, op5_curriculum_mix,
     op6_simhash_planes, op7_disclosing_terms, op8_adaptive_quality,
     op9_cotrained_quality, op10_minimax_shards)}
