@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -12,21 +10,22 @@ from pyspark.sql.types import StringType
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate results: the one the cluster names in ``spark.checkpoint.dir``,
+    or one in the warehouse, which executors share as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging"
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written copy.
+    """Write ``df`` to the shared folder and continue from the written copy.
 
-    The copy survives lost executors. The folder is the one the cluster names in
-    ``spark.checkpoint.dir``; only a local session without one gets a folder of its own.
+    The copy survives lost executors. Checkpoints rather than tables, as Spark removes a checkpoint
+    once nothing refers to it any more (``spark.cleaner.referenceTracking.cleanCheckpoints``).
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="calltext-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
