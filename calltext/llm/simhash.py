@@ -279,7 +279,7 @@ def near_components(
 
 # Near copies on five-word shingles: at a similarity of 0.8 the cosine of two equally large shingle
 # sets is 8/9, and so 0.151 of the bits differ. The radius leaves room for chance above that.
-NEAR_COPIES = {"shingle": 5, "numbers": 8, "radius": 88, "wide": 0.151}
+NEAR_COPIES = {"shingle": 5, "numbers": 16, "radius": 160, "wide": 0.151}
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -6,28 +6,51 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from calltext.llm import mixing, sharding
+from calltext.llm import decontamination, mixing, quality, sharding, simhash
+from calltext.operators.staging import shared_folder
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the adaptive thresholds accept."""
+    return quality.kept_rows(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return simhash.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.clean_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order."""
     return mixing.in_training_order(docs, mixing.curriculum(docs))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document goes."""
+    """Which shard and slot each row goes to."""
     return sharding.shard_by_bytes(docs)
 
 
-STAGES = [("mix", mix), ("shard", shard)]
+STAGES = [
+    ("quality rules", keep_quality),
+    ("near copies", drop_near_copies),
+    ("benchmark leaks", drop_leaks),
+    ("mixing", mix_sources),
+    ("sharding", shard),
+]
+# Tiling, components and the check of near copies are no SQL; tests compare them with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written to the shared folder and read again."""
-    folder = f"{spark.conf.get('spark.checkpoint.dir')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
+        docs = spark.read.parquet(f"{folder}/{number}")
     return STAGES[-1][1](spark, docs, sf_dir)
