@@ -1,4 +1,4 @@
-"""Measures of one passage of text.
+"""Measures of one passage of text. NULL text gives NULL, whatever ``spark.sql.ansi.enabled`` says.
 
 Word characters are letters, digits and the underscore of any script, written out as ``W`` because
 the short forms differ between regex engines.
@@ -40,7 +40,7 @@ NEGATORS = ["not", "less", "few", "limited"]
 
 def number_count(text: Column | str) -> Column:
     """Numbers in the text, leaving out those after a month and those starting with four digits."""
-    return F.size(
+    return F.array_size(
         F.filter(F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0)),
                  lambda number: ~number.rlike(MONTH_OR_YEAR))
     )
@@ -74,7 +74,7 @@ def forward_looking_share(
     past = rf"(?iu)(?<!{W})(?:{'|'.join(auxiliaries)}){SPACE}(?:{'|'.join(participles)})"
     parts = sentences(text)
     hits = F.filter(parts, lambda s: s.rlike(forward) & ~s.rlike(past))
-    return F.size(hits) / F.nullif(F.size(parts), F.lit(0))
+    return F.array_size(hits) / F.nullif(F.array_size(parts), F.lit(0))
 
 
 # A number with thousands separators, or a run of word characters that may hold . ' - / inside.
@@ -94,6 +94,21 @@ def tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{W}+"), F.lit(0))
 
 
+def spaced_tokens(text: Column | str) -> Column:
+    """The tokens, each with what stands between it and the next."""
+    return F.regexp_extract_all(text, F.lit(f"{W}+{NOT_W}*"), F.lit(0))
+
+
+def phrases(found: Column, spaced: Column, length: int) -> Column:
+    """Every ``length`` of the ``found`` tokens in a row, with what stands between them. Both
+    arguments should be plain columns, or they are computed again for every token."""
+    starts = F.when(F.array_size(found) >= length,
+                    F.sequence(F.lit(0), F.array_size(found) - length))
+    texts = F.transform(starts, lambda i: F.concat(
+        F.array_join(F.slice(spaced, i + 1, length - 1), ""), F.get(found, i + length - 1)))
+    return F.coalesce(texts, F.array().cast("array<string>"))
+
+
 def competition_mentions(
     passages: DataFrame, text: str = "speaker_text", word: str = COMPETITION,
     negators: Sequence[str] = NEGATORS,

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calltext.functions.passages import number_count, sentences, tokens, words
+from calltext.functions.passages import (
+    W, number_count, phrases, sentences, spaced_tokens, tokens, words,
+)
 from calltext.operators.incremental import of_todo_files, replace_by_key
 from calltext.operators.staging import broadcast_if_small
 from calltext.schemas import LINGUISTIC_FEATURES, TONE_CATEGORIES
@@ -56,15 +58,29 @@ def tone_counts(
 ) -> DataFrame:
     """``carry`` (default: all columns but the text) and the number of whole-word hits per category.
 
-    Matching keeps case. ``lexicon`` holds ``category, word`` with words made of word characters
-    only. NULL text gives NULL counts.
+    Matching keeps case. ``lexicon`` holds ``category, word``. An entry of several tokens, such as
+    ``well-known`` or ``can't``, counts wherever it stands as it is written, also beside a shorter
+    entry within it. One that does not begin and end with a word character cannot be a whole word;
+    it raises an error. NULL text gives NULL counts.
     """
     carry = _carried(passages, text, carry)
+    whole = F.col("word").rlike(rf"(?s)^{W}(?:.*{W})?$")
+    lexicon = lexicon.withColumn("word", F.when(whole | (F.col("word") == _MARKER), F.col("word"))
+                                 .otherwise(F.raise_error(F.concat(
+                                     F.lit("not a whole word: "), F.col("word")))))
+    # As many values as the longest entry has tokens.
+    sizes = sorted(r[0] for r in lexicon.select(
+        F.array_size(tokens("word"))).distinct().collect() if r[0])
+    items = tokens(text)
+    if max(sizes, default=1) > 1:
+        passages = passages.withColumns({"__t": tokens(text), "__s": spaced_tokens(text)})
+        found, spaced = F.col("__t"), F.col("__s")
+        items = F.concat(found, *(phrases(found, spaced, n) for n in sizes if n > 1))
     flags = lexicon.groupBy("word").agg(*[
         F.max((F.col("category") == c).cast("int")).alias("__" + c) for c in categories])
     is_marker = F.col("__word") == _MARKER
     counted = (
-        _exploded(passages, carry, text, tokens(text)).drop("__pos")
+        _exploded(passages, carry, text, items).drop("__pos")
         .join(_with_marker(flags), F.col("__word") == F.col("word"))
         .groupBy(*carry, "__digest")
         .agg(F.count(F.when(is_marker, 1)).cast("int").alias("__copies"),
@@ -101,9 +117,9 @@ def word_stats(text: Column | str) -> list[Column]:
     """``sent_count, word_count, word_7_count`` of a text."""
     found = words(text)
     return [
-        F.size(sentences(text)).alias("sent_count"),
-        F.size(found).alias("word_count"),
-        F.size(F.filter(found, lambda w: F.length(w) >= 7)).alias("word_7_count"),
+        F.array_size(sentences(text)).alias("sent_count"),
+        F.array_size(found).alias("word_count"),
+        F.array_size(F.filter(found, lambda w: F.length(w) >= 7)).alias("word_7_count"),
     ]
 
 
@@ -121,11 +137,11 @@ def syllable_features(
     """``carry`` and ``syllable_data``: a struct of sentence and word counts, the syllables of the
     words that ``lexicon`` (``word, n_syllables``) knows, and how often each number occurs."""
     carry = _carried(passages, text, carry)
-    base = passages.select(*carry, text, F.size(sentences(text)).alias("__sents"),
+    base = passages.select(*carry, text, F.array_size(sentences(text)).alias("__sents"),
                            words(text).alias("__words"))
     base = base.withColumns({
-        "__n": F.size("__words"),
-        "__n7": F.size(F.filter("__words", lambda w: F.length(w) >= 7)),
+        "__n": F.array_size("__words"),
+        "__n7": F.array_size(F.filter("__words", lambda w: F.length(w) >= 7)),
     })
     keys = [*carry, "__sents", "__n", "__n7", "__digest"]
     known = _with_marker(lexicon.select("word", F.col("n_syllables").cast("int").alias("__syl")))
@@ -173,21 +189,22 @@ def long_words(
         lexicon.filter((F.col("n_syllables") >= syllables) & (F.length("word") > longer_than))
         .select("word")
     )
-    is_marker = F.col("word") == _MARKER
-    gathered = (
+    # Identical passages give each word at each place several times; it is counted before the words
+    # of a passage are gathered, so that no row grows with the number of copies.
+    counted = (
         _exploded(passages, carry, text, words(text))
         .join(chosen, F.lower("__word") == F.col("word"))
-        .groupBy(*carry, "__digest")
-        .agg(F.count(F.when(is_marker, 1)).cast("int").alias("__copies"),
-             F.array_sort(F.collect_list(
-                 F.when(~is_marker, F.struct("__pos", "word")))).alias("__found"))
+        .groupBy(*carry, "__digest", "__pos", "word").agg(F.count("*").cast("int").alias("__n"))
     )
-    # Identical passages give each position several times in a row.
-    once = F.filter("__found", lambda e, i: i % F.col("__copies") == 0)
+    is_marker = F.col("word") == _MARKER
+    gathered = counted.groupBy(*carry, "__digest").agg(
+        F.max(F.when(is_marker, F.col("__n"))).alias("__copies"),
+        F.array_sort(F.collect_list(
+            F.when(~is_marker, F.struct("__pos", "word")))).alias("__found"))
     per_row = gathered.select(
         *carry, "__digest", "__copies",
         F.when(F.col("__digest").isNotNull(),
-               F.transform(once, lambda e: e["word"])).alias("long_words"))
+               F.transform("__found", lambda e: e["word"])).alias("long_words"))
     return _copies(per_row)
 
 

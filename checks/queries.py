@@ -376,6 +376,37 @@ def number_count(t):
     return t["documents"].select("doc_id", passages.number_count("text").alias("num_count"))
 
 
+@query
+def number_count_default(t):
+    return t["documents_default"].select("doc_id", passages.number_count("text").alias("num_count"))
+
+
+@query
+def forward_looking_default(t):
+    return t["documents_default"].select(
+        "doc_id", passages.forward_looking_share("text").alias("share"))
+
+
+@query
+def comp_intensity_default(t):
+    return competition_table(t["documents_default"], ["doc_id"], "text", unique_keys=True).select(
+        "doc_id", "preceding_words", "competition_word",
+        F.element_at("exclude_matches", 1).alias("exclude_match"), "exclude")
+
+
+@query
+def tone_counts_phrases(t):
+    return features.tone_counts(t["documents_null"], t["lexicon_phrases"], "text")
+
+
+@query
+def passage_measures_null(t):
+    return t["documents_null"].select(
+        "doc_id", passages.number_count("text").alias("num_count"),
+        passages.forward_looking_share("text", STEMS, AUXILIARIES, PARTICIPLES).alias("share"),
+        *features.word_stats("text"))
+
+
 @query
 def lexicon_table(t):
     return features.lexicon_table(t["lexicon"]).select(

@@ -11,7 +11,6 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
-from calltext.operators.partitioning import spread
 from calltext.operators.staging import stage
 
 BASE = [
@@ -19,9 +18,6 @@ BASE = [
     "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-# Tables of texts, which the feature queries work through.
-TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id"}
-
 FIRST_NAMES = ["Jan", "John Q.", "Juan", "Ann", "Lee-Anne", "Hans", "Mary Lou"]
 LAST_NAMES = [
     "van Beek", "Public", "de la Cruz", "Lee", "van Evans", "Smith Jr.", "Stone, Jr", "de Souza",
@@ -29,6 +25,18 @@ LAST_NAMES = [
 ]
 PREFIXES = ["", "Dr. ", "Mr ", "Prof. ", "Ms. ", "Dr. Dr. ", "", "Sen. "]
 
+PATTERN_SENTENCES = [
+    "We sold 12,500 units on January 15 and 3.5 in Feb. 1998.",
+    "We will grow and we could hire 40 people!", "Sales were expected to grow, as we hope.",
+    "There is not much competition in 1998.", "Our limited competitive edge may help 7 firms.",
+    "Others compete with 1.5 stores on May 4. Should they?", "No competitor had anticipated it.",
+    "Competes fewer.",
+]
+PHRASES = [
+    "a well-known, can''t-miss name", "can''t", "far below plan", "well known and far below  plan",
+    "unwell-known can''ts", "plan well-known far below plan",
+]
+
 
 def pick(number: str, values: list[str]) -> str:
     """The value at ``number`` modulo their count."""
@@ -214,7 +222,21 @@ VIEWS = {
     "name_pairs": """
         SELECT substr(p_name, 1, 3) AS fname_alt, p_name AS first_name, p_size > 25 AS valid
         FROM {part}""",
+    # Sentences that hold what the shipped patterns look for, at the end of every text.
+    "documents_default": f"""
+        SELECT doc_id, text || '. ' || {pick('doc_id', PATTERN_SENTENCES)} || ' '
+               || {pick('doc_id * 3 + 1', PATTERN_SENTENCES)} AS text
+        FROM {{documents}}""",
+    "documents_null": f"""
+        SELECT doc_id, lang, CASE WHEN doc_id % 5 <> 0
+               THEN text || ' ' || {pick('doc_id', PHRASES)} END AS text
+        FROM {{documents}}""",
     # -- word lists ----------------------------------------------------------------------------
+    "lexicon_phrases": """
+        SELECT category, word FROM {lexicon}
+        UNION ALL SELECT 'positive' AS category, 'well-known' AS word
+        UNION ALL SELECT 'modal_weak' AS category, 'can''t' AS word
+        UNION ALL SELECT 'negative' AS category, 'far below plan' AS word""",
     "lexicon": """
         SELECT CASE length(word) WHEN 3 THEN 'positive' WHEN 4 THEN 'negative'
                     WHEN 5 THEN 'uncertainty' WHEN 6 THEN 'litigious' WHEN 7 THEN 'modal_strong'
@@ -277,8 +299,7 @@ class Tables:
 
     def _load(self, name: str) -> DataFrame:
         if name in BASE:
-            table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-            return spread(table, TEXT_KEYS[name]) if name in TEXT_KEYS else table
+            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         sql = SPARK_ONLY[name] if name in SPARK_ONLY else VIEWS[name]
         view = self.spark.sql(sql, **{dep: self[dep] for dep in _inputs(sql)})
         return stage(view) if name == "vocabulary" else view
