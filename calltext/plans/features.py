@@ -209,5 +209,8 @@ def long_words(
 
 
 def lexicon_table(lexicon: DataFrame) -> DataFrame:
-    """``category, word_list`` with each category's words in alphabetical order."""
-    return lexicon.groupBy("category").agg(F.array_sort(F.collect_list("word")).alias("word_list"))
+    """``category, word_list`` with each category's words in alphabetical order, and ``url``, where a
+    category's words come from, if the lexicon tells it."""
+    url = [F.min("url").alias("url")] if "url" in lexicon.columns else []
+    return lexicon.groupBy("category").agg(
+        F.array_sort(F.collect_list("word")).alias("word_list"), *url)

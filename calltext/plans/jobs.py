@@ -1,4 +1,8 @@
-"""The two feature jobs: find unprocessed calls, compute their passages, replace their rows."""
+"""The two feature jobs: find unprocessed calls, compute their passages, replace their rows.
+
+Each keeps the keys it has worked on in a table of its own, ``<table>_done``: a call without passages
+leaves no row in the feature table, and would otherwise be taken again by every run.
+"""
 
 from __future__ import annotations
 
@@ -10,32 +14,43 @@ from calltext.operators.incremental import of_todo_files, todo
 from calltext.operators.staging import stage
 from calltext.plans.features import passage_features, syllable_features
 from calltext.schemas import LINGUISTIC_FEATURES, SYLLABLE_DATA, TONE_CATEGORIES
-from calltext.sources.writers import BUCKET, create_if_absent, upsert_table
+from calltext.sources.writers import BUCKET, append_table, create_if_absent, upsert_table
+from calltext.sources.writers import BUCKETS as BUCKET_COUNT
 
 BUCKETS = 1024
 EARNINGS_CALL = 1
 
 
+KEYS = ["file_name", "last_update"]
+
+
 def _run(
     wanted: DataFrame, table: str, schema: StructType, features, excluded: list[DataFrame],
-    first_keys: DataFrame, limit: int | None, buckets: int,
+    first_keys: DataFrame, limit: int | None, buckets: int | None,
 ) -> DataFrame:
     spark = wanted.sparkSession
     keyed = StructType([*schema.fields]).add(BUCKET, IntegerType())
-    first = create_if_absent(spark, table, keyed, BUCKET)
+    first = create_if_absent(
+        spark, table, keyed, BUCKET, properties={BUCKET_COUNT: str(buckets or BUCKETS)})
+    record = f"{table}_done"
+    create_if_absent(spark, record, wanted.select(*KEYS).schema)
+    # Keys in the feature table itself are done too, as those of a table older than its record.
+    done = spark.read.table(record).unionByName(spark.read.table(table).select(*KEYS))
     work = stage(
         todo(first_keys, None, limit=limit) if first
-        else todo(wanted, spark.read.table(table), *excluded, limit=limit))
+        else todo(wanted, done, *excluded, limit=limit))
     upsert_table(features(work), work, table, "file_name", buckets)
+    append_table(work, record)
     return work
 
 
 def run_linguistic_features(
     calls: DataFrame, speaker_data: DataFrame, lexicon: DataFrame, table: str,
-    limit: int | None = None, buckets: int = BUCKETS,
+    limit: int | None = None, buckets: int | None = None,
 ) -> DataFrame:
     """Bring ``table`` up to date with the earnings calls, at most ``limit`` of them; returns the
-    keys worked on. Works by file, so every version of a file is computed."""
+    keys worked on. Works by file, so every version of a file is computed. ``buckets`` is for the
+    first run; later runs read the number from the table."""
     carry = [c for c in LINGUISTIC_FEATURES.names if c not in (*TONE_CATEGORIES, "num_count")]
     wanted = calls.filter(F.col("event_type") == EARNINGS_CALL)
 
@@ -48,7 +63,7 @@ def run_linguistic_features(
 
 def run_syllables(
     calls: DataFrame, dupes: DataFrame, first_keys: DataFrame, speaker_data: DataFrame,
-    lexicon: DataFrame, table: str, limit: int | None = None, buckets: int = BUCKETS,
+    lexicon: DataFrame, table: str, limit: int | None = None, buckets: int | None = None,
 ) -> DataFrame:
     """The same for syllable records, leaving out the duplicate transcripts. The first run takes
     its calls from ``first_keys`` (the question-and-answer table) instead."""

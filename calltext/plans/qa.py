@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from calltext.operators.staging import stage
+
 BLOCK_LENGTH = 4096
 
 
@@ -32,7 +34,8 @@ def qa_passages(
     within = Window.partitionBy(*block).orderBy(order)
     opens = F.col("is_question") & ~F.lag("is_question", 1, False).over(within)
     rows = rows.withColumn("__opens", opens.cast("int"))
-    rows = rows.withColumn("__count", F.sum("__opens").over(within))
+    # Keys, numbers and flags only; the blocks are summed from them and joined with them.
+    rows = stage(rows.withColumn("__count", F.sum("__opens").over(within)))
     ends = rows.groupBy(*block).agg(
         F.sum("__opens").alias("__total"),
         F.min_by("is_question", order).alias("__starts_with_question"),

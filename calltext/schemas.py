@@ -60,6 +60,7 @@ FIRST_NAME_PAIRS = _schema(fname_alt=_text, first_name=_text, valid=_bool)
 PRONUNCIATIONS = _schema(word=_text, phones=ArrayType(_text))
 LEXICON = _schema(category=_text, word=_text)
 
+# The categories of the tone word lists.
 TONE_CATEGORIES = [
     "positive", "negative", "uncertainty", "litigious", "modal_strong", "modal_weak",
 ]

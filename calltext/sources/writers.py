@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,23 +12,39 @@ from calltext.operators.incremental import replace_by_key
 from calltext.operators.staging import stage
 
 BUCKET = "key_bucket"
+BUCKETS = "calltext.buckets"
 
 
-def create_if_absent(spark: SparkSession, table: str, schema: StructType, *partition: str) -> bool:
+def create_if_absent(
+    spark: SparkSession, table: str, schema: StructType, *partition: str,
+    properties: Mapping[str, str] | None = None,
+) -> bool:
     """Create an empty table with the declared schema; tells whether it did."""
     if spark.catalog.tableExists(table):
         return False
     writer = spark.createDataFrame([], schema).write.format("parquet")
     (writer.partitionBy(*partition) if partition else writer).saveAsTable(table)
+    for name, value in (properties or {}).items():
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{value}')")
     return True
 
 
 def overwrite_table(df: DataFrame, table: str, comment: str | None = None) -> None:
-    """Replace a catalog table; the new content may be computed from the old."""
-    df = stage(df) if df.sparkSession.catalog.tableExists(table) else df
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    """Replace a catalog table; the new content may be computed from the old.
+
+    The new table is written beside the old one and takes its name when it is complete, so a write
+    that fails leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    new, old = f"{table}__new", f"{table}__old"
+    df.write.mode("overwrite").format("parquet").saveAsTable(new)
     if comment is not None:
-        comment_table(df.sparkSession, table, comment)
+        comment_table(spark, new, comment)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def comment_table(spark: SparkSession, table: str, comment: str) -> None:
@@ -49,11 +67,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_arrow_sample(df: DataFrame, path: str) -> None:
-    """Keep the passages of one call as one Arrow (Feather) file; meant for samples only."""
+def write_arrow_sample(df: DataFrame, path: str, file_name: str) -> None:
+    """Keep the passages of one call, which the driver can hold, as one Arrow (Feather) file."""
     from pyarrow import feather
 
-    feather.write_feather(df.toArrow(), path)
+    feather.write_feather(df.filter(F.col("file_name") == file_name).toArrow(), path)
 
 
 def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
@@ -62,34 +80,56 @@ def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
 
 
 def create_upsert_table(df: DataFrame, table: str, key: str, buckets: int = 256) -> None:
-    """A table partitioned by a hash of ``key``, for ``upsert_table``."""
+    """A table partitioned by a hash of ``key``, for ``upsert_table``, which reads the number of
+    buckets from the table's properties."""
     (
         with_bucket(df, key, buckets).hint("rebalance", F.col(BUCKET))
         .write.mode("overwrite").format("parquet").partitionBy(BUCKET).saveAsTable(table)
     )
+    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS}' = '{buckets}')")
+
+
+def _buckets_of(spark: SparkSession, table: str, buckets: int | None) -> int:
+    """The number of buckets that ``table`` was made with; another one would scatter its keys."""
+    known = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(BUCKETS)
+    if known is None:
+        raise ValueError(f"{table} is no upsert table: it has no property {BUCKETS}")
+    if buckets is not None and buckets != int(known):
+        raise ValueError(f"{table} has {known} buckets, not {buckets}")
+    return int(known)
 
 
 def upsert_table(
-    new: DataFrame, processed: DataFrame, table: str, key: str, buckets: int = 256
+    new: DataFrame, processed: DataFrame, table: str, key: str, buckets: int | None = None
 ) -> None:
-    """Replace the rows of the processed keys; only the partitions of these keys are rewritten."""
+    """Replace the rows of the processed keys.
+
+    Rows of keys that the table does not hold yet are appended. Only the partitions of the others
+    are rewritten. A run that fails in between can be repeated.
+    """
     spark = new.sparkSession
-    touched = with_bucket(processed.select(key).distinct(), key, buckets)
+    count = _buckets_of(spark, table, buckets)
+    stored = spark.read.table(table)
+    columns = stored.columns
+    keys = with_bucket(processed.select(key).distinct(), key, count)
+    held = stage(keys.join(stored.select(key, BUCKET), [key, BUCKET], "left_semi"))
+    rows = stage(with_bucket(new, key, count).select(*columns))
     # At most as many values as there are buckets.
-    numbers = sorted(row[0] for row in touched.select(BUCKET).distinct().collect())
-    old = spark.read.table(table).filter(F.col(BUCKET).isin(numbers))
-    columns = spark.read.table(table).columns
-    merged = stage(replace_by_key(
-        old, with_bucket(new, key, buckets).select(*columns), key, processed=processed))
-    # insertInto reads the mode from the session only.
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        merged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(mode, previous)
-    # Overwriting leaves a partition alone that gets no rows, so emptied ones are dropped.
-    kept = {row[0] for row in merged.select(BUCKET).distinct().collect()}
-    for number in sorted(set(numbers) - kept):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET} = {number})")
+    numbers = sorted(row[0] for row in held.select(BUCKET).distinct().collect())
+    if numbers:
+        old = stored.filter(F.col(BUCKET).isin(numbers))
+        again = rows.join(held.select(key), key, "left_semi").select(*columns)
+        merged = stage(replace_by_key(old, again, key, processed=held))
+        place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(
+            "col_name = 'Location'").first()["data_type"]
+        (
+            merged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(place)
+        )
+        spark.catalog.refreshTable(table)
+        # Overwriting leaves a partition alone that gets no rows, so emptied ones are dropped.
+        kept = {row[0] for row in merged.select(BUCKET).distinct().collect()}
+        for number in sorted(set(numbers) - kept):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET} = {number})")
+    fresh = rows.join(held.select(key), key, "left_anti").select(*columns)
+    fresh.hint("rebalance", F.col(BUCKET)).write.mode("append").insertInto(table)

@@ -217,3 +217,50 @@ def test_qa_blocks_do_not_change_the_numbers(spark):
     assert rows(qa_pairs(df.filter("file_name = 'a'")), "qa_id", "n_questions", "question_from",
                 "question_to", "n_answers", "answer_from", "answer_to") == [
         (1, 2, 6, 9, 2, 12, 15), (2, 1, 18, 18, 2, 21, 24), (3, 3, 27, 33, 1, 36, 36)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_null_text_gives_null(spark, ansi):
+    from calltext.functions import passages
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.sql("SELECT CAST(NULL AS STRING) AS t")
+        measures = [passages.number_count("t"), passages.forward_looking_share("t"),
+                    *features.word_stats("t")]
+        assert list(df.select(*measures).first()) == [None] * 5
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_entries_of_several_tokens(spark):
+    lexicon = spark.createDataFrame(
+        [("positive", "well-known"), ("negative", "can't"), ("negative", "known")],
+        "category string, word string")
+    texts = spark.createDataFrame(
+        [(1, "A well-known firm can't, it can't."), (2, "well known"), (3, None)], "k int, t string")
+    got = features.tone_counts(texts, lexicon, "t")
+    assert rows(got, "k", "positive", "negative") == [(1, 1, 3), (2, 0, 1), (3, None, None)]
+    odd = spark.createDataFrame([("positive", "-x")], "category string, word string")
+    with pytest.raises(Exception, match="not a whole word"):
+        features.tone_counts(texts, odd, "t").collect()
+
+
+def test_long_words_of_many_copies(spark):
+    lexicon = spark.createDataFrame([("banana", 3)], "word string, n_syllables int")
+    texts = spark.range(50).select(F.lit(1).alias("k"), F.lit("Banana a banana").alias("t"))
+    got = features.long_words(texts, lexicon, "t")
+    assert rows(got) == [(1, ["banana", "banana"])] * 50
+
+
+def test_no_registered_text_query_shuffles_its_texts(spark):
+    from checks.queries import QUERIES
+    folder = "/root/testdata/sf0.001"
+    for name in ("number_count", "sentence_split", "word_stats", "forward_looking_share",
+                 "comp_intensity", "tone_counts", "syllable_features", "long_words"):
+        plan = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" not in plan
+        for line in plan.splitlines():
+            if "Exchange" in line and "Broadcast" not in line and "BroadcastExchange" not in line:
+                assert "text#" not in line
+        if name in ("number_count", "sentence_split", "word_stats", "forward_looking_share"):
+            assert "Exchange" not in plan

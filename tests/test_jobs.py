@@ -57,3 +57,13 @@ def test_syllables_start_from_the_question_table(spark):
     assert run() == [("b", 4)]
     assert run() == [("a", 2), ("b", 4)]
     assert run() == [("a", 2), ("b", 4)]
+
+
+def test_empty_calls_do_not_hold_up_a_limited_run(spark):
+    lexicon = spark.createDataFrame([("negative", "loss")], "category string, word string")
+    calls = _calls(spark, ("a", V1, 1), ("b", V1, 1), ("c", V1, 1), ("d", V1, 1))
+    spoken = _spoken(spark, ("c", V1, 1, "loss"), ("d", V1, 1, "gain"))
+    took = [rows(run_linguistic_features(calls, spoken, lexicon, "empty_job", 2, buckets=4), "file_name")
+            for _ in range(3)]
+    assert took == [[("a",), ("b",)], [("c",), ("d",)], []]
+    assert rows(spark.table("empty_job"), "file_name", "negative") == [("c", 1), ("d", 0)]

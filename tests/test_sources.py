@@ -21,6 +21,8 @@ def test_word_lists_with_both_header_rules(spark, tmp_path):
     with_header = readers.read_lexicon(spark, paths, header=True, lower=False)
     assert rows(with_header) == [("negative", "Bad"), ("positive", "Gain")]
     assert rows(lexicon_table(with_header)) == [("negative", ["Bad"]), ("positive", ["Gain"])]
+    known = with_header.filter("category = 'negative'").withColumn("url", F.lit("here"))
+    assert rows(lexicon_table(known)) == [("negative", ["Bad"], "here")]
 
 
 def test_mac_roman_csv(spark, tmp_path):
@@ -42,7 +44,7 @@ def test_arrow_sample(spark, tmp_path):
     feather.write_feather(pa.table({"file_name": ["a", "b"], "n": [1, 2]}), path)
     sample = readers.read_arrow_sample(spark, path)
     assert rows(sample) == [("a", 1), ("b", 2)]
-    writers.write_arrow_sample(sample.filter("n = 1"), path)
+    writers.write_arrow_sample(sample, path, "a")
     assert rows(readers.read_arrow_sample(spark, path)) == [("a", 1)]
 
 
@@ -83,6 +85,38 @@ def test_upsert_rewrites_only_the_touched_partitions(spark):
     assert all(after[b] == before[b] for b in before if b not in touched)
 
 
+def test_a_failing_write_leaves_the_old_table(spark):
+    df = spark.createDataFrame([(1, "old")], "k int, v string")
+    writers.overwrite_table(df, "kept_rows")
+    bad = df.withColumn("v", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        writers.overwrite_table(bad, "kept_rows")
+    assert rows(spark.table("kept_rows")) == [(1, "old")]
+    writers.overwrite_table(df.withColumn("v", F.lit("new")), "kept_rows")
+    assert rows(spark.table("kept_rows")) == [(1, "new")]
+
+
+def test_upsert_refuses_another_number_of_buckets(spark):
+    df = spark.range(20).select(F.concat(F.lit("f"), "id").alias("file_name"), F.lit(1).alias("v"))
+    writers.create_upsert_table(df, "fixed_rows", "file_name", buckets=8)
+    with pytest.raises(ValueError, match="8 buckets"):
+        writers.upsert_table(df, df, "fixed_rows", "file_name", buckets=3)
+    writers.upsert_table(df, df, "fixed_rows", "file_name")
+    assert spark.table("fixed_rows").count() == 20
+
+
+def test_new_keys_rewrite_no_partition(spark):
+    df = spark.range(40).select(F.concat(F.lit("f"), "id").alias("file_name"), F.lit(1).alias("v"))
+    writers.create_upsert_table(df, "grown_rows", "file_name", buckets=4)
+    files = lambda: {r[0] for r in spark.table("grown_rows").select(
+        F.input_file_name()).distinct().collect()}
+    before = files()
+    new = spark.range(40, 60).select(
+        F.concat(F.lit("f"), "id").alias("file_name"), F.lit(2).alias("v"))
+    writers.upsert_table(new, new, "grown_rows", "file_name")
+    assert before < files() and spark.table("grown_rows").count() == 60
+
+
 def test_upsert_that_empties_a_partition(spark):
     df = spark.createDataFrame([("only", 1)], "file_name string, v int")
     writers.create_upsert_table(df, "emptied_rows", "file_name", buckets=4)
