@@ -175,8 +175,8 @@ def _sampled(rows: DataFrame, extra: list[str]) -> tuple[list[np.ndarray], list]
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("key", *extra))
     found = rows.mapInArrow(run, f"{kinds}, a binary, b binary").collect()
     found.sort(key=lambda r: str(r["key"]))
-    views = [np.array([np.frombuffer(r[c], np.float32) for r in found]).reshape(len(found), -1)
-             for c in ("a", "b")]
+    views = [np.array([np.frombuffer(r[c], np.float32) for r in found]).reshape(len(found), width)
+             for c, width in (("a", TRIGRAMS + 4), ("b", NAMES + 4))]
     return views, [[r[c] for r in found] for c in extra]
 
 

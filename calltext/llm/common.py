@@ -142,6 +142,25 @@ def words(text: Column | str) -> Column:
     return F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
 
 
+def marked(docs: DataFrame, key: str, *hashed: str) -> DataFrame:
+    """``docs`` with its key and a hash of some columns under names of their own."""
+    return docs.withColumns({
+        "__row_key": F.col(f"`{key}`"), "__row_hash": F.xxhash64(*(F.col(f"`{c}`") for c in hashed))})
+
+
+def rows_of(docs: DataFrame, chosen: DataFrame, key: str, *hashed: str, how: str = "left_semi"
+            ) -> DataFrame:
+    """The ``marked`` rows of ``docs`` that ``chosen (_key, _hash)`` names, null being equal to null;
+    with ``how="left_anti"`` the others. ``docs`` may have columns of any other names."""
+    return marked(docs, key, *hashed).alias("d").join(
+        chosen.select("_key", "_hash").alias("c"),
+        F.expr("d.__row_key <=> c._key AND d.__row_hash = c._hash"), how)
+
+
+def unmarked(docs: DataFrame) -> DataFrame:
+    return docs.drop("__row_key", "__row_hash")
+
+
 def parallelism(df: DataFrame) -> int:
     """Partitions for an exchange that the caller sizes: what the session says for shuffles."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

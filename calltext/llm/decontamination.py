@@ -172,6 +172,6 @@ def contaminated(
 def clean_rows(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` whose id is not among the contaminated ones. Rows of one id go or stay
     together; a null id counts as an id."""
-    bad = contaminated(docs, benchmark, key=key, **options).select(F.col(key).alias("_bad")).distinct()
-    return docs.withColumn("_k", F.col(f"`{key}`")).join(
-        bad, F.expr("_k <=> _bad"), "left_anti").drop("_k")
+    bad = contaminated(docs, benchmark, key=key, **options).select(F.col(key).alias("bad")).distinct()
+    return docs.alias("d").join(
+        bad.alias("b"), F.expr(f"d.`{key}` <=> b.bad"), "left_anti")

@@ -1,3 +1,137 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+The others rest on hashes that DuckDB lacks (XXH64, CRC-32) or are no relational work (tiling,
+components, Viterbi, model fits); tests compare them with brute force.
+"""
+
+from __future__ import annotations
+
+WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+SUPER_KMERS = rf"""
+WITH worded AS (SELECT doc_id, {WORDS} AS words FROM documents),
+windows AS (
+    SELECT doc_id, pos, array_to_string(words[pos:pos + 49], ' ') AS words FROM (
+        SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS pos FROM worded)),
+late AS (
+    SELECT doc_id, pos FROM windows QUALIFY min(doc_id) OVER (PARTITION BY words) < doc_id),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(pos, pos + 49)) AS pos FROM late),
+left_over AS (
+    SELECT w.doc_id, w.pos, w.word FROM (
+        SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM worded) AS w
+    ANTI JOIN gone AS g ON w.doc_id = g.doc_id AND w.pos = g.pos),
+kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text
+    FROM left_over GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (doc_id)"""
+
+# Sources sorted by cap over weight: the first ones stay at their caps, and the level of words per
+# weight for the rest is right where the next source's cap lies above it.
+CURRICULUM = rf"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size FROM documents),
+sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           [1, 2, 3][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+    FROM sized GROUP BY source),
+filled AS (
+    SELECT *, 3 * source_size AS most, 3 * source_size / weight AS ratio,
+           sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
+           sum(3 * source_size) OVER w AS held, sum(weight) OVER w AS held_weights
+    FROM sources WINDOW w AS (ORDER BY 3 * source_size / weight, source
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (
+    SELECT arg_min((total - coalesce(held, 0)) / (weights - coalesce(held_weights, 0)), ratio) AS level
+    FROM filled
+    WHERE ratio > (total - coalesce(held, 0)) / (weights - coalesce(held_weights, 0))),
+targets AS (
+    SELECT source, source_size, CAST(least(most, weight * level) AS DOUBLE) AS target
+    FROM filled, level),
+lined AS (
+    SELECT *, sum(size) OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id
+                              ROWS UNBOUNDED PRECEDING) - size / 2 AS middle
+    FROM sized)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size = 0 THEN 0
+            ELSE size * least(greatest(ceil((target - middle) / source_size), 0), 3) END AS BIGINT)
+           AS taken
+FROM lined AS l JOIN targets AS t ON l.source IS NOT DISTINCT FROM t.source"""
+
+
+def _quartiles(name: str, *keys: str) -> str:
+    group = ", ".join([*keys, "metric"])
+    return f"""
+{name} AS (
+    SELECT {group}, min(bucket) FILTER (WHERE 4 * upto >= whole) AS low,
+           min(bucket) FILTER (WHERE 4 * upto >= 3 * whole) AS high, max(whole) AS support
+    FROM (SELECT {group}, bucket, sum(count(*)) OVER (PARTITION BY {group} ORDER BY bucket) AS upto,
+                 sum(count(*)) OVER (PARTITION BY {group}) AS whole
+          FROM sketch GROUP BY {group}, bucket)
+    GROUP BY {group})"""
+
+
+ADAPTIVE = rf"""
+WITH worded AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text, {WORDS} AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents),
+grams AS (
+    SELECT doc_id, pos, array_to_string(words[pos:pos + 4], ' ') AS gram FROM (
+        SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS pos FROM worded)),
+repeats AS (
+    SELECT doc_id, count(DISTINCT pos) AS n FROM (
+        SELECT doc_id, unnest(generate_series(pos, pos + 4)) AS pos FROM (
+            SELECT doc_id, pos FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1))
+    GROUP BY doc_id),
+measured AS (
+    SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+           CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+           CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+           len(lines) AS n_lines,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+    FROM worded LEFT JOIN repeats USING (doc_id)),
+ruled AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+           1000 * n_symbols // greatest(word_chars, 1) AS symbols,
+           10 * word_chars // greatest(n_words, 1) AS word_length,
+           1000 * n_dup_lines // greatest(n_lines, 1) AS repeated_lines
+    FROM measured),
+long AS (
+    SELECT doc_id, lang, source, base_failed, unnest([
+        {{'metric': 'symbols', 'value': symbols, 'room': 20}},
+        {{'metric': 'word_length', 'value': word_length, 'room': 20}},
+        {{'metric': 'repeated_lines', 'value': repeated_lines, 'room': 350}}], recursive := true)
+    FROM ruled),
+sketch AS (
+    SELECT *, value - value % CAST(2 ** greatest(length(bin(value)) - 6, 0) AS BIGINT) AS bucket
+    FROM long WHERE NOT base_failed),
+{_quartiles('own', 'lang', 'source')},
+{_quartiles('of_lang', 'lang')},
+{_quartiles('of_all')},
+fences AS (
+    SELECT o.lang, o.source, o.metric,
+           CASE WHEN o.support >= 100 THEN [o.low, o.high] WHEN l.support >= 100 THEN [l.low, l.high]
+                ELSE [a.low, a.high] END AS q
+    FROM own AS o JOIN of_lang AS l ON o.lang IS NOT DISTINCT FROM l.lang AND o.metric = l.metric
+    JOIN of_all AS a ON o.metric = a.metric),
+judged AS (
+    SELECT doc_id, bool_and(value BETWEEN q[1] - 6 * (q[2] - q[1]) - room
+                                  AND q[2] + 6 * (q[2] - q[1]) + room) AS within
+    FROM long AS l JOIN fences AS f ON l.lang IS NOT DISTINCT FROM f.lang
+    AND l.source IS NOT DISTINCT FROM f.source AND l.metric = f.metric
+    GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(within, true) AS kept
+FROM ruled LEFT JOIN judged USING (doc_id)"""
+
+ORACLES = {
+    "op3_super_kmer_dedup": SUPER_KMERS,
+    "op5_curriculum_mix": CURRICULUM,
+    "op8_adaptive_quality": ADAPTIVE,
+}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from calltext.llm.common import marked
 from calltext.operators.staging import stage
 
 # The kinds in their order. Possessive loops and the look-behind give the matches of
@@ -183,18 +184,20 @@ def sanitised(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str
     """``docs`` with its spans acted on: entities give way to their kind in angle brackets, terms
     that disclose one fully (share 1) are removed, other terms are generalised to ``<term>``. A
     span that begins inside an earlier one goes with it."""
-    rows = docs.withColumns({"_k": F.col(f"`{key}`"), "_h": F.xxhash64(text)})
-    once = spans.dropDuplicates(["_key", "_hash"])
+    once = spans.dropDuplicates(["_key", "_hash"]).select(
+        "_key", "_hash", F.col("spans").alias("__row_spans"))
     names = F.array(*(F.lit(f"<{k}>") for k in (*KINDS, TERM)))
     label = lambda s: F.when(F.coalesce(s["share"] >= 1, F.lit(False)), F.lit("")).otherwise(
         F.get(names, s["kind"]))
     piece = lambda at, n: F.substring(F.col(text), (at + 1).cast("int"), n.cast("int"))
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
-    built = F.aggregate("spans", start, lambda a, s: F.when(s["start"] >= a["at"], F.struct(
+    built = F.aggregate("__row_spans", start, lambda a, s: F.when(s["start"] >= a["at"], F.struct(
         F.concat(a["done"], piece(a["at"], s["start"] - a["at"]), label(s)).alias("done"),
         s["end"].alias("at"))).otherwise(F.struct(
             a["done"].alias("done"), F.greatest(a["at"], s["end"]).alias("at"))),
         lambda a: F.concat(a["done"], piece(a["at"], F.length(text).cast("long"))))
-    new = F.when(F.coalesce(F.size("spans"), F.lit(0)) > 0, built).otherwise(F.col(text))
-    return rows.join(once, F.expr("_k <=> _key AND _h = _hash"), "left").withColumn(
-        text, new).drop("_k", "_h", "_key", "_hash", "spans")
+    new = F.when(F.coalesce(F.size("__row_spans"), F.lit(0)) > 0, built).otherwise(F.col(text))
+    joined = marked(docs, key, text).alias("d").join(
+        once.alias("c"), F.expr("d.__row_key <=> c._key AND d.__row_hash = c._hash"), "left")
+    return joined.select("d.*", "c.__row_spans").withColumn(text, new).drop(
+        "__row_key", "__row_hash", "__row_spans")

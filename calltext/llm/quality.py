@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calltext.llm.common import SPACE, words
+from calltext.llm.common import SPACE, rows_of, unmarked, words
 from calltext.operators.staging import stage
 
 SYMBOLS = "[#*$%&|<>]"
@@ -166,6 +166,5 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
               source: str = "source") -> DataFrame:
     """The rows of ``docs`` that ``judged`` keeps, unchanged."""
-    good = judged(docs, key, text, lang, source).filter("kept").select("_key", "_hash")
-    rows = docs.withColumns({"_k": F.col(f"`{key}`"), "_h": F.xxhash64(text, lang, source)})
-    return rows.join(good, F.expr("_k <=> _key AND _h = _hash"), "left_semi").drop("_k", "_h")
+    good = judged(docs, key, text, lang, source).filter("kept")
+    return unmarked(rows_of(docs, good, key, text, lang, source))

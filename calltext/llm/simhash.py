@@ -11,7 +11,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calltext.llm.common import components, in_order, joined_words, mix, text_batches
+from calltext.llm.common import (
+    components, in_order, joined_words, mix, rows_of, text_batches, unmarked,
+)
 from calltext.operators.staging import stage
 
 SEED = 42
@@ -289,7 +291,6 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     chosen = found.groupBy("component").agg(F.min(F.struct(
         F.col(key).isNull().alias("last"), F.col(key).alias("k"), "hash")).alias("c")).select(
             F.col("c.k").alias("_key"), F.col("c.hash").alias("_hash"))
-    rows = docs.withColumns({"_k": F.col(f"`{key}`"), "_h": F.xxhash64(text)})
-    return rows.join(chosen, F.expr("_k <=> _key AND _h = _hash"), "left_semi").withColumn(
-        "_nth", F.expr("row_number() OVER (PARTITION BY _k, _h ORDER BY _h)")).filter(
-            "_nth = 1").drop("_k", "_h", "_nth")
+    rows = rows_of(docs, chosen, key, text).withColumn("__row_nth", F.expr(
+        "row_number() OVER (PARTITION BY __row_key, __row_hash ORDER BY __row_hash)"))
+    return unmarked(rows.filter("__row_nth = 1").drop("__row_nth"))
