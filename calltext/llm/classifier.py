@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calltext.llm.common import joined_words, text_batches
+from calltext.llm.common import gram_hashes, joined_words, text_batches
 
 # Documents that the fit may use: labelled ones, and unlabelled ones to exchange labels on.
 LABELLED = 4000
@@ -21,12 +21,25 @@ HELD_OUT = 0.25  # share of the labelled ones kept for calibration
 KEEP_FROM = 0.5
 TRIGRAMS = 1024
 NAMES = 64
+DENSE, LAYOUT = 7, 8
+# How freely the many hashed features may be used beside the few that describe the whole text.
+HASHED_EASE = 0.1
 MIX = 0x9E3779B1
 
 
+def _distinct(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """How many different values each owner has."""
+    order = np.lexsort((values, owner))
+    owner, values = owner[order], values[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    return np.bincount(owner[new], minlength=n)
+
+
 def text_view(texts: list[bytes]) -> np.ndarray:
-    """Shares of hashed byte trigrams, share of distinct words, mean word length, symbols, length."""
-    out = np.zeros((len(texts), TRIGRAMS + 4), dtype=np.float32)
+    """Shares of hashed byte trigrams; shares of distinct words and word pairs, also against the
+    length; mean word length, symbols, length."""
+    out = np.zeros((len(texts), TRIGRAMS + DENSE), dtype=np.float32)
     for i, text in enumerate(texts):
         # Sums over pieces, so a very long text needs no more memory than its words.
         for at in range(0, len(text), 1 << 20):
@@ -38,29 +51,34 @@ def text_view(texts: list[bytes]) -> np.ndarray:
     _, starts, ends, hashes, first = joined_words(texts)
     count = np.diff(first)
     owner = np.repeat(np.arange(len(texts)), count)
-    order = np.lexsort((hashes, owner))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
     some = np.maximum(count, 1)
-    out[:, -4] = np.bincount(owner[order][new], minlength=len(texts)) / some
-    out[:, -3] = np.bincount(owner, weights=ends - starts, minlength=len(texts)) / some / 10
-    out[:, -2] = [sum(t.count(c) for c in b"#*$%&|<>") / max(len(t), 1) for t in texts]
-    out[:, -1] = np.log1p(count) / 10
+    distinct = _distinct(owner, hashes, len(texts)) / some
+    pairs = _distinct(owner[1:], gram_hashes(hashes, 2), len(texts)) / some
+    symbols = [sum(t.count(c) for c in b"#*$%&|<>") / max(len(t), 1) for t in texts]
+    out[:, TRIGRAMS:] = np.column_stack((
+        distinct, distinct * np.log1p(count) / 5, pairs, pairs < 0.5,
+        np.bincount(owner, weights=ends - starts, minlength=len(texts)) / some / 10,
+        np.minimum(symbols, 0.1) * 10, np.log1p(count) / 10))
     return out
 
 
 def metadata_view(lang: list, source: list, texts: list[bytes]) -> np.ndarray:
-    """Hashed language and source, and the page's layout: its length, lines and their lengths."""
-    out = np.zeros((len(texts), NAMES + 4), dtype=np.float32)
+    """Hashed language and source, and the page's layout: its length, its lines, their lengths, ends
+    and repeats, stops and spaces."""
+    out = np.zeros((len(texts), NAMES + LAYOUT), dtype=np.float32)
     for i, (names, text) in enumerate(zip(zip(lang, source), texts)):
         for place, name in enumerate(names):
             code = 0
             for b in repr((place, name)).encode():
                 code = (code * 31 + b) & 0xFFFFFFFF
             out[i, (code * MIX & 0xFFFFFFFF) >> 26] = 1
-        n = text.count(b"\n") + 1
-        out[i, NAMES:] = (np.log1p(len(text)) / 10, np.log(n) / 5,
-                          np.log1p(len(text) / n) / 10, text.count(b". ") / n / 10)
+        rows = text.split(b"\n")
+        n, longest = len(rows), max(map(len, rows))
+        stops = sum(r.rstrip().endswith((b".", b"!", b"?")) for r in rows)
+        out[i, NAMES:] = (
+            np.log1p(len(text)) / 10, np.log(n) / 5, np.log1p(len(text) / n) / 10,
+            len(set(rows)) / n, longest / max(len(text), 1), stops / n,
+            text.count(b". ") / max(len(text), 1) * 100, text.count(b" ") / max(len(text), 1) * 5)
     return out
 
 
@@ -74,8 +92,9 @@ class Linear:
     bias: float
 
     @staticmethod
-    def fit(x: np.ndarray, y: np.ndarray, steps: int = 150, penalty: float = 1e-2) -> Linear:
+    def fit(x: np.ndarray, y: np.ndarray, steps: int = 150, penalty: float = 3e-2) -> Linear:
         mean, scale = x.mean(axis=0), 1 / (x.std(axis=0) + 1e-3)
+        scale[:TRIGRAMS if x.shape[1] > TRIGRAMS else NAMES] *= HASHED_EASE
         z = ((x - mean) * scale).astype(np.float32)
         # Both classes weigh the same, so that the rare one is learnt.
         importance = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
@@ -176,7 +195,7 @@ def _sampled(rows: DataFrame, extra: list[str]) -> tuple[list[np.ndarray], list]
     found = rows.mapInArrow(run, f"{kinds}, a binary, b binary").collect()
     found.sort(key=lambda r: str(r["key"]))
     views = [np.array([np.frombuffer(r[c], np.float32) for r in found]).reshape(len(found), width)
-             for c, width in (("a", TRIGRAMS + 4), ("b", NAMES + 4))]
+             for c, width in (("a", TRIGRAMS + DENSE), ("b", NAMES + LAYOUT))]
     return views, [[r[c] for r in found] for c in extra]
 
 

@@ -76,7 +76,8 @@ def minimax_cuts(sizes: _Sizes, shards: int, largest: int) -> list[int]:
         share = at + (sizes.total - at) // left
         down = sizes.reach(share)
         up = _next_end(sizes, share)
-        wanted = down if share - down <= up - share else up
+        # A shard takes at least one group while there are any.
+        wanted = down if down > at and share - down <= up - share else up
         # What remains has to fit into the other shards.
         if wanted - at > low or not _rest_fits(sizes, wanted, left - 1, low):
             other = up if wanted == down else down
