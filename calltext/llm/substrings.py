@@ -19,10 +19,11 @@ WINDOW = 50
 # Words in a minimiser. Short ones give long super-k-mers, long ones are rarely frequent.
 MINIMISER = 6
 BUCKETS_PER_PARTITION = 4
-# At most this many of the most frequent minimisers, each seen at least this often, have their
-# windows dealt one by one; any other minimiser then has less than a 4096th of all super-k-mers.
+# A minimiser with this many super-k-mers would fill a good part of a task's memory with them, about
+# 500 bytes each, so its windows are dealt one by one. At most HOT_MINIMISERS, the most frequent
+# ones, are told to the tasks.
 HOT_MINIMISERS = 4096
-HOT_COUNT = 256
+HOT_COUNT = 40_000
 GROUP_BYTES = 2 << 20
 LAST_ID = 2**63 - 1
 
@@ -61,10 +62,6 @@ class _Group:
         self.minimiser, self.text = least[self.begin], text_of[self.begin]
         self.size = size
 
-    def string(self, i: int) -> bytes:
-        at = self.begin[i]
-        return self.data[self.starts[at]:self.ends[at + self.windows[i] + self.size - 2]]
-
 
 def _groups(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[_Group]:
     for rows, texts in text_batches(batches, "text", GROUP_BYTES):
@@ -72,22 +69,44 @@ def _groups(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[_Group]:
 
 
 def _minimisers(size: int):
+    """For each minimiser of a group: its super-k-mers, and the least and greatest document."""
+
     def count(batches):
         for g in _groups(batches, size):
-            values, n = np.unique(g.minimiser, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["m", "n"])
+            order = np.argsort(g.minimiser, kind="stable")
+            values, docs = g.minimiser[order], g.docs[g.text[order]]
+            cut = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))[:len(values)]
+            if len(values):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values[cut].view(np.int64)),
+                     pa.array(np.minimum.reduceat(docs, cut)),
+                     pa.array(np.maximum.reduceat(docs, cut)),
+                     pa.array(np.diff(np.append(cut, len(values))))], ["m", "low", "high", "n"])
 
     return count
 
 
+def _places(size: int):
+    """Minimiser and place of each super-k-mer."""
+
+    def send(batches):
+        for g in _groups(batches, size):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(g.minimiser.view(np.int64)), pa.array(g.docs[g.text]),
+                 pa.array(g.sums[g.text].astype(np.int64)),
+                 pa.array((g.begin - g.first[g.text]).astype(np.int32)),
+                 pa.array(g.windows.astype(np.int32))], ["m", "doc", "sum", "from", "windows"])
+
+    return send
+
+
 def _pack(*arrays: np.ndarray, text: bytes) -> bytes:
     sizes = np.array([a.nbytes for a in arrays], dtype=np.int64)
     body = sizes.tobytes() + b"".join(a.tobytes() for a in arrays) + text
     return zstandard.ZstdCompressor(level=3).compress(body)
 
 
-_TYPES = (np.uint64, np.int64, np.int64, np.int64, np.uint32, np.int64)
+_TYPES = (np.int64, np.int64, np.int64, np.int64, np.uint32, np.int64)
 
 
 def _unpack(blob: bytes) -> tuple[list[np.ndarray], bytes]:
@@ -99,32 +118,30 @@ def _unpack(blob: bytes) -> tuple[list[np.ndarray], bytes]:
     return arrays, body[at:]
 
 
-def _super_kmers(size: int, hot: np.ndarray, buckets: int):
-    """Packed super-k-mers of a group of documents for each bucket: equal strings once, with the
-    documents and places where they occur."""
+def _super_kmers(size: int, buckets: int):
+    """Packed super-k-mers of some documents for each bucket: equal strings once, with the documents
+    and places where they occur."""
 
     def send(batches):
-        for g in _groups(batches, size):
-            bucket = (g.minimiser % np.uint64(buckets)).astype(np.int64)
-            bucket[np.isin(g.minimiser, hot)] = -1
-            order = np.argsort(bucket, kind="stable")
-            order = order[np.searchsorted(bucket[order], 0):]
-            names, blobs = [], []
-            for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                if not len(part):
-                    continue
-                where: dict[bytes, list[int]] = {}
-                for i in part.tolist():
-                    where.setdefault(g.string(i), []).append(i)
-                head = [x[0] for x in where.values()]
-                every = [i for x in where.values() for i in x]
-                text = g.text[every]
-                names.append(int(bucket[part[0]]))
+        for rows, texts in text_batches(batches, "text", GROUP_BYTES):
+            found: dict[int, dict[bytes, list]] = {}
+            docs, sums = rows.column("doc").to_pylist(), rows.column("sum").to_pylist()
+            for doc, sum_, text, places in zip(docs, sums, texts, rows.column("places").to_pylist()):
+                words = text.split()
+                for p in places:
+                    m, at = p["m"], p["from"]
+                    string = b" ".join(words[at:at + p["windows"] + size - 1])
+                    found.setdefault(m % buckets, {}).setdefault(string, [m]).append((doc, sum_, at))
+            names, blobs = list(found), []
+            for where in found.values():
+                uses = [x for members in where.values() for x in members[1:]]
+                doc, sum_, at = zip(*uses)
                 blobs.append(_pack(
-                    g.minimiser[head], np.array([len(s) for s in where], dtype=np.int64),
-                    np.array([len(x) for x in where.values()], dtype=np.int64),
-                    g.docs[text], g.sums[text], g.begin[every] - g.first[text],
-                    text=b"".join(where)))
+                    np.array([x[0] for x in where.values()], dtype=np.int64),
+                    np.array([len(s) for s in where], dtype=np.int64),
+                    np.array([len(x) - 1 for x in where.values()], dtype=np.int64),
+                    np.array(doc, dtype=np.int64), np.array(sum_, dtype=np.uint32),
+                    np.array(at, dtype=np.int64), text=b"".join(where)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
@@ -267,31 +284,40 @@ def repeated_spans(texts: DataFrame, size: int = WINDOW) -> DataFrame:
     """``(doc, sum, from, to)``: runs of words of ``texts (doc, text)`` in windows that also start in
     a row with a smaller ``doc``; ``sum`` is the CRC-32 of the row's text.
 
-    Consecutive windows with one minimiser value travel as one packed string to the bucket of that
-    value. A bucket drops minimisers that one document has alone and names the windows of the rest
-    by sorting, exactly. Windows of the few most frequent minimisers do not meet in buckets: each is
-    its own key, the least document per window is found by partial aggregation, and a join, whose
-    skewed partitions adaptive execution splits, tells the later ones.
+    Consecutive windows with one minimiser value make a super-k-mer. A minimiser that one document
+    has alone is left out after the places of super-k-mers, without their words, have met the counts.
+    The others travel as packed strings to the bucket of their minimiser, where the windows are
+    named by sorting, exactly. Windows of the few most frequent minimisers do not meet in buckets:
+    each is its own key, the least document per window is found by partial aggregation, and a join,
+    whose skewed partitions adaptive execution splits, tells the later ones.
     """
-    spark = texts.sparkSession
-    counted = texts.mapInArrow(_minimisers(size), "m long, n long").groupBy("m").agg(
-        F.sum("n").alias("n")).filter(F.col("n") >= HOT_COUNT)
+    rows = texts.withColumn("sum", F.crc32(F.col("text").cast("binary")))
+    counted = texts.mapInArrow(_minimisers(size), "m long, low long, high long, n long").groupBy(
+        "m").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+    shared = counted.filter("low < high")
     # At most HOT_MINIMISERS numbers reach the driver and go back to the tasks.
-    top = counted.orderBy(F.desc("n"), "m").limit(HOT_MINIMISERS).collect()
-    hot = np.sort(np.array([r["m"] for r in top], dtype=np.int64).view(np.uint64))
+    top = shared.filter(F.col("n") >= HOT_COUNT).orderBy(F.desc("n"), "m").limit(
+        HOT_MINIMISERS).collect()
+    hot = np.sort(np.array([r["m"] for r in top], dtype=np.int64))
     n = parallelism(texts)
     runs = "doc long, sum long, from long, to long"
-    cold = (
-        texts.mapInArrow(_super_kmers(size, hot, n * BUCKETS_PER_PARTITION), "bucket int, blob binary")
+    cold = shared.filter(~F.col("m").isin(hot.tolist())) if len(hot) else shared
+    places = texts.mapInArrow(
+        _places(size), "m long, doc long, sum long, from int, windows int"
+    ).join(cold.select("m"), "m").groupBy("doc", "sum").agg(
+        F.collect_set(F.struct("m", "from", "windows")).alias("places"))
+    found = (
+        rows.join(places, ["doc", "sum"])
+        .mapInArrow(_super_kmers(size, n * BUCKETS_PER_PARTITION), "bucket int, blob binary")
         .repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_resolved(size), runs))
     if not len(hot):
-        return cold
+        return found
     windows = stage(texts.mapInArrow(
-        _hot_windows(size, hot), "digest binary, doc long, sum long, from long"))
+        _hot_windows(size, hot.view(np.uint64)), "digest binary, doc long, sum long, from long"))
     first = windows.groupBy("digest").agg(F.min("doc").alias("first"))
     late = windows.join(first, "digest").filter("doc > first").select(
         "doc", "sum", "from", (F.col("from") + size).alias("to"))
-    return cold.unionByName(late)
+    return found.unionByName(late)
 
 
 def without_repeats(
@@ -306,14 +332,14 @@ def without_repeats(
     an empty table gives no rows.
     """
     rows = docs.select(
-        F.col(key).alias("key"), F.coalesce(F.col(key), F.lit(LAST_ID)).cast("long").alias("doc"),
+        F.coalesce(F.col(key), F.lit(LAST_ID)).cast("long").alias("doc"),
         F.coalesce(F.col(text), F.lit("")).alias("text"))
-    spans = repeated_spans(rows.select("doc", "text"), size).groupBy(
-        F.col("doc").alias("d"), F.col("sum").alias("s")).agg(
-            F.collect_set(F.struct("from", "to")).alias("spans"))
-    joined = rows.join(spans, (F.col("doc") == F.col("d"))
-                       & (F.crc32(F.col("text").cast("binary")) == F.col("s")), "left")
-    kind = docs.schema[key].dataType.simpleString()
-    return joined.select("key", "text", "spans").mapInArrow(
-        _drop_covered, f"key {kind}, n_words long, n_removed long, kept string"
-    ).withColumnRenamed("key", key)
+    spans = repeated_spans(rows, size).groupBy("doc", "sum").agg(
+        F.collect_set(F.struct("from", "to")).alias("spans"))
+    # The same exchange of the texts serves this join and the one that cuts the super-k-mers out.
+    joined = rows.withColumn("sum", F.crc32(F.col("text").cast("binary"))).join(
+        spans, ["doc", "sum"], "left")
+    kept = joined.select(F.col("doc").alias("key"), "text", "spans").mapInArrow(
+        _drop_covered, "key long, n_words long, n_removed long, kept string")
+    own = F.when(F.col("key") != LAST_ID, F.col("key")).cast(docs.schema[key].dataType)
+    return kept.select(own.alias(key), "n_words", "n_removed", "kept")
