@@ -286,7 +286,10 @@ def _inputs(sql: str) -> list[str]:
 
 
 class Tables:
-    """The given tables of one folder and the views over them, by name."""
+    """The given tables of one folder and the views over them, by name. ``ready`` has views that were
+    made before, by folder and name; it is empty unless a bench fills it."""
+
+    ready: dict[tuple[str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -298,6 +301,8 @@ class Tables:
         return self._known[name]
 
     def _load(self, name: str) -> DataFrame:
+        if (self.folder, name) in self.ready:
+            return self.ready[self.folder, name]
         if name in BASE:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         sql = SPARK_ONLY[name] if name in SPARK_ONLY else VIEWS[name]

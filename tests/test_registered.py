@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import connect, duckdb_rows, spark_rows
+from checks.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
