@@ -116,3 +116,13 @@ def test_texts_without_words(docs):
     got = {r["doc_id"]: r for r in substrings.without_repeats(docs).collect()}
     assert (got[3]["n_words"], got[3]["kept"]) == (0, "") and got[2]["n_removed"] == 80
     assert got[9]["n_removed"] == 80 and got[1]["n_removed"] == 0 and got[None]["n_removed"] in (0, 80)
+
+
+def test_a_source_without_words(spark):
+    df = spark.createDataFrame([(1, "", "a"), (2, None, "a"), (3, "x y z " * 10, "b"), (4, "u v", "c")],
+                               "doc_id long, text string, source string")
+    got = {r["_key"]: (r["target"], r["passes"]) for r in mixing.curriculum(df).collect()}
+    assert got[1] == (0.0, 0) and got[2] == (0.0, 0)
+    assert got[4][0] == 6.0 and got[4][1] == 3 and round(got[3][0]) == 26 and got[3][1] == 1
+    empty = spark.createDataFrame([(1, "", "a")], "doc_id long, text string, source string")
+    assert [r["passes"] for r in mixing.curriculum(empty).collect()] == [0]
