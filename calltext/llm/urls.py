@@ -164,9 +164,10 @@ def judged(
         "host", "path").agg(F.round(F.sum(odds) + prior, 9).alias("score"))
     trained = F.lit(bool(pages_allowed or pages_blocked))
     same = F.expr("u.host = s.host AND u.path = s.path")
-    verdicts = urls.alias("u").join(scores.alias("s"), same, "left").select(
+    # Staged, so that pages meet it in an exchange of its own and a frequent url can be split.
+    verdicts = stage(urls.alias("u").join(scores.alias("s"), same, "left").select(
         "u.host", "u.path", "u.rule", "u.verdict", F.when(F.col("u.verdict").isNull(), F.when(
-            trained, F.coalesce("s.score", F.lit(prior))).otherwise(0.0)).alias("block_score"))
+            trained, F.coalesce("s.score", F.lit(prior))).otherwise(0.0)).alias("block_score")))
     return rows.join(verdicts, ["host", "path"]).select(
         F.col("_key").alias(key), "host", "path", "rule",
         F.coalesce("verdict", F.when(F.col("block_score") > 0, "block").otherwise("allow"))
