@@ -66,9 +66,11 @@ def without_repeated_chunks(
         F.coalesce(F.col(key), F.lit(LAST_ID)).cast("long").alias("_key"),
         F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
     chunks = stage(_with_chunks(rows.filter("_text IS NOT NULL"), roll, divisor, least))
-    repeated = chunks.groupBy("digest").agg(
+    # Staged, so that the join meets it in an exchange of its own: only then can adaptive execution
+    # split the places of a frequent chunk.
+    repeated = stage(chunks.groupBy("digest").agg(
         F.min("_key").alias("_least"), F.max("_key").alias("_most"), F.max("again").alias("_again")
-    ).filter("_least < _most OR _again").select("digest", "_least")
+    ).filter("_least < _most OR _again").select("digest", "_least"))
     places = chunks.join(repeated, "digest").groupBy("_key", "_hash").agg(F.collect_set(F.struct(
         "from", "to", "digest", ((F.col("_key") == F.col("_least")) & ~F.col("again")).alias("first")
     )).alias("_places"))
