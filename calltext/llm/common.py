@@ -196,19 +196,21 @@ def components(edges: DataFrame) -> DataFrame:
     edge, the component being its least node.
 
     Rounds of large-star and small-star (Kiveris et al. 2014) as joins and aggregates, each staged.
-    A node with very many links meets them in joins, whose skewed partitions adaptive execution
-    splits; the least neighbour is found by partial aggregation.
+    The least neighbour of a node is found by partial aggregation. It is staged before the links meet
+    it in a join, as adaptive execution splits the links of a frequent node only where both sides
+    come from exchanges of their own.
     """
     links = stage(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .filter("a <> b").distinct())
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            "a", F.least("a", "m").alias("m"))
+        least = stage(both.groupBy("a").agg(F.min("b").alias("m")).select(
+            "a", F.least("a", "m").alias("m")))
         large = both.join(least, "a").filter("b > a").select(
             F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = stage(large)
+        least = stage(large.groupBy("a").agg(F.min("b").alias("m")))
         small = (
             large.join(least, "a")
             .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")),
