@@ -294,7 +294,9 @@ def repeated_spans(texts: DataFrame, size: int = WINDOW) -> DataFrame:
     rows = texts.withColumn("sum", F.crc32(F.col("text").cast("binary")))
     counted = texts.mapInArrow(_minimisers(size), "m long, low long, high long, n long").groupBy(
         "m").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
-    shared = counted.filter("low < high")
+    # Staged, as it is read twice, and so that the join below meets it in an exchange of its own:
+    # only then can adaptive execution split the places of a frequent minimiser.
+    shared = stage(counted.filter("low < high"))
     # At most HOT_MINIMISERS numbers reach the driver and go back to the tasks.
     top = shared.filter(F.col("n") >= HOT_COUNT).orderBy(F.desc("n"), "m").limit(
         HOT_MINIMISERS).collect()
