@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calltext.llm.common import marked
-from calltext.operators.staging import stage
+from calltext.operators.staging import broadcast_if_small, stage
 
 # The kinds in their order. Possessive loops and the look-behind give the matches of
 # the plain patterns in linear time: none of them can give back a character and still match, and a
@@ -18,9 +20,10 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 
-# A term is a run of at least three letters within this many code points of an entity.
-CONTEXT = 48
-TERM_PATTERN = r"(?<=\P{L})\p{L}{3,}+(?=\P{L})"
+# A term is a run of at least three letters outside the emails. Its places in a text are those behind
+# a character that is no letter; it is counted wherever it stands.
+TERM_PATTERN = r"(?<=\P{L})\p{L}{3,}+"
+TERM_COUNTED = r"(?<!\p{L})\p{L}{3,}+"
 # A term discloses an entity when their pointwise mutual information reaches this share of the
 # entity's information content, and both stand together in this many different texts.
 DISCLOSURE = 0.8
@@ -50,16 +53,9 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _with_spans(rows: DataFrame, kind: str, pattern: str, sign: str | None) -> DataFrame:
-    """``rows`` plus ``_<kind>``: an array of (kind, start, end, value) of the valid matches.
-
-    Places are sums of the lengths of the matches and of what lies between them. They are summed by
-    blocks of matches, so many matches in one text cost little more than as many in several.
-    """
-    hit = F.col("_text").contains(sign) if sign else F.lit(True)
-    found = F.when(hit, F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)))
-    n = F.size("_m")
-    rows = rows.withColumn("_m", found).withColumn("_p", F.when(n > 0, F.split("_text", pattern, -1)))
+def _with_sums(rows: DataFrame, n: Column) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """``rows`` with matches ``_m`` and pieces ``_p`` between them plus what places are summed from
+    (``_l``, ``_b``), and the length of all that lies before piece ``i``."""
     rows = rows.withColumn("_l", F.zip_with(
         F.slice("_p", F.lit(1), n), "_m", lambda p, m: (F.length(p) + F.length(m)).cast("long")))
     sums = F.transform(
@@ -69,9 +65,22 @@ def _with_spans(rows: DataFrame, kind: str, pattern: str, sign: str | None) -> D
     rows = rows.withColumn("_b", F.when(n > 0, F.aggregate(
         sums, F.array(F.lit(0).cast("long")),
         lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))))
-    before = lambda i: F.get("_b", F.floor(i / BLOCK).cast("int")) + F.aggregate(
+    return rows, lambda i: F.get("_b", F.floor(i / BLOCK).cast("int")) + F.aggregate(
         F.slice("_l", F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK),
         F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def _with_spans(rows: DataFrame, kind: str, pattern: str, sign: str | None) -> DataFrame:
+    """``rows`` plus ``_<kind>``: an array of (kind, start, end, value) of the valid matches.
+
+    Places are sums of the lengths of the matches and of what lies between them. They are summed by
+    blocks of matches, so many matches in one text cost little more than as many in several.
+    """
+    hit = F.col("_text").contains(sign) if sign else F.lit(True)
+    found = F.when(hit, F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)))
+    n = F.size("_m")
+    rows = rows.withColumn("_m", found).withColumn("_p", F.when(n > 0, F.split("_text", pattern, -1)))
+    rows, before = _with_sums(rows, n)
     rank = KINDS.index(kind)
     spans = F.filter(F.transform("_m", lambda m, i: F.when(_valid(kind, m), F.struct(
         F.lit(rank).alias("kind"), i.alias("i"), m.alias("value")))), lambda s: s.isNotNull())
@@ -94,54 +103,77 @@ def base_spans(rows: DataFrame) -> DataFrame:
         F.coalesce(F.col(f"_{k}"), none) for k in KINDS)))).drop(*(f"_{k}" for k in KINDS))
 
 
-def _contexts(text: Column, span: Column) -> Column:
-    """Terms around a span: an array of (entity, term, start, end)."""
-    left_at = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    sides = (
-        (F.substring(text, (left_at + 1).cast("int"), (span["start"] - left_at).cast("int")), left_at),
-        (F.substring(text, (span["end"] + 1).cast("int"), F.lit(CONTEXT)), span["end"]))
-    return F.concat(*(_terms_of(side, at, span["value"]) for side, at in sides))
+def _without_emails(text: Column) -> Column:
+    """A text of the same length with blanks for its emails, the only spans that hold letters."""
+    blanks = F.zip_with(
+        F.split(text, EMAIL, -1), F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0)),
+        lambda p, m: F.concat(p, F.coalesce(F.repeat(F.lit(" "), F.length(m)), F.lit(""))))
+    return F.when(text.contains("@"), F.array_join(blanks, "")).otherwise(text)
+
+
+def _entities(spans: Column) -> Column:
+    return F.array_distinct(F.transform(spans, lambda s: s["value"]))
+
+
+def _terms(masked: Column) -> Column:
+    return F.array_distinct(F.transform(
+        F.regexp_extract_all(masked, F.lit(TERM_COUNTED), F.lit(0)), F.lower))
 
 
-def _terms_of(side: Column, at: Column, entity: Column) -> Column:
-    gaps = F.split(side, TERM_PATTERN, -1)
-    terms = F.regexp_extract_all(side, F.lit(TERM_PATTERN), F.lit(0))
-    length = F.zip_with(gaps, terms, lambda g, t: (
-        F.coalesce(F.length(g), F.lit(0)) + F.coalesce(F.length(t), F.lit(0))).cast("long"))
+def _with_held(texts: DataFrame) -> DataFrame:
+    """``texts`` plus ``_held``: the entities of each text that stand in ``SUPPORT`` different texts,
+    each with its number of rows."""
+    entities = stage(texts.select("n", F.explode("_entities").alias("entity")).groupBy("entity").agg(
+        F.sum("n").alias("n_entity"), F.count("*").alias("texts")).filter(
+            F.col("texts") >= SUPPORT).drop("texts"))
+    held = stage(texts.select("_hash", F.explode("_entities").alias("entity")).join(
+        entities, "entity").groupBy("_hash").agg(
+            F.collect_set(F.struct("entity", "n_entity")).alias("_held")))
+    return texts.join(held, "_hash")
 
-    def place(term: Column, i: Column) -> Column:
-        start = at + F.length(F.get(gaps, i)) + F.aggregate(
-            F.slice(length, F.lit(1), i), F.lit(0).cast("long"), lambda a, x: a + x)
-        return F.struct(entity.alias("entity"), F.lower(term).alias("term"),
-                        start.alias("start"), (start + F.length(term)).alias("end"))
 
-    return F.transform(terms, place)
+def _pairs(texts: DataFrame, *columns: str) -> DataFrame:
+    """``(*columns, entity, n_entity, term)``: each entity held by a text with each of its terms."""
+    return texts.select(
+        *columns, F.explode("_held").alias("c"), _terms(F.col("_masked")).alias("_t")).select(
+            *columns, "c.*", F.explode("_t").alias("term"))
 
 
-def disclosures(rows: DataFrame, texts: DataFrame) -> DataFrame:
+def disclosures(held: DataFrame, texts: DataFrame) -> DataFrame:
     """``(entity, term, share)``: terms whose co-occurrence with an entity over the corpus reveals it.
 
-    ``rows`` has the contexts of every row of the corpus, ``texts`` all texts. With counts of rows,
-    PMI = log(n(t,e) N / (n(t) n(e))) and the information content of e is log(N / n(e)); their ratio
-    is 1 for a term that occurs nowhere but beside e. Copies of one text count once for the support.
+    ``held`` has each different text that holds entities once, with its number ``n`` of rows;
+    ``texts`` has all rows. Both stand together where a text holds both, however far apart. With
+    counts of rows, PMI = log(n(t,e) N / (n(t) n(e))) and the information content of e is
+    log(N / n(e)); their ratio is 1 for a term that occurs nowhere but in texts of e. Copies of one
+    text count once for the support. Pairs are summed by each task first.
     """
     n = texts.count()
-    seen = rows.select("_hash", F.explode(F.array_distinct(F.transform(
-        "_contexts", lambda c: F.struct(c["entity"].alias("entity"), c["term"].alias("term"))))
-    ).alias("c")).select("_hash", "c.*")
-    pairs = seen.groupBy("entity", "term", "_hash").agg(F.count("*").alias("n")).groupBy(
-        "entity", "term").agg(F.sum("n").alias("both"), F.count("*").alias("support")).filter(
-            F.col("support") >= SUPPORT)
-    entities = rows.select(F.explode(F.array_distinct(F.transform(
-        "_spans", lambda s: s["value"]))).alias("entity")).groupBy("entity").agg(
-            F.count("*").alias("n_entity"))
-    # Terms are looked up among the letter runs of whole texts; each task sums its own first.
-    terms = texts.select(F.explode(F.array_distinct(F.split(F.lower("_text"), r"\P{L}+"))).alias(
-        "term")).filter(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("n_term"))
-    share = F.log(F.col("both") * n / (F.col("n_term") * F.col("n_entity"))) / F.log(
-        F.lit(float(n)) / F.col("n_entity"))
-    return pairs.join(entities, "entity").join(terms, "term").select(
-        "entity", "term", share.alias("share")).filter(F.col("share") >= DISCLOSURE)
+    pairs = _pairs(held, "n").groupBy("entity", "n_entity", "term").agg(
+        F.sum("n").alias("both"), F.count("*").alias("support")).filter(F.col("support") >= SUPPORT)
+    terms = texts.select(F.explode(_terms(_without_emails(F.col("_text")))).alias("term")).groupBy(
+        "term").agg(F.count("*").alias("n_term")).filter(F.col("n_term") >= SUPPORT)
+    pmi = F.log(F.col("both") * n / (F.col("n_term") * F.col("n_entity")))
+    share = pmi / F.nullif(F.log(F.lit(float(n)) / F.col("n_entity")), F.lit(0.0))
+    return pairs.join(terms, "term").select("entity", "term", share.alias("share")).filter(
+        F.col("share") >= DISCLOSURE)
+
+
+def _term_spans(texts: DataFrame) -> DataFrame:
+    """``(_hash, _terms)``: where the terms ``_marks`` (term to share) stand in the texts."""
+    rows = texts.withColumn("_m", F.regexp_extract_all("_masked", F.lit(TERM_PATTERN), F.lit(0)))
+    rows = rows.withColumn("_p", F.split("_masked", TERM_PATTERN, -1))
+    rows, before = _with_sums(rows, F.size("_m"))
+    found = F.filter(F.transform("_m", lambda m, i: F.struct(
+        i.alias("i"), m.alias("m"), F.try_element_at("_marks", F.lower(m)).alias("share"))),
+        lambda s: s["share"].isNotNull())
+    rows = rows.withColumn("_f", F.transform(found, lambda s: F.struct(
+        (before(s["i"]) + F.length(F.get("_p", s["i"]))).alias("start"), s["m"].alias("m"),
+        s["share"].alias("share"))))
+    return rows.select("_hash", F.transform("_f", lambda s: F.struct(
+        s["start"].alias("start"), F.lit(len(KINDS)).alias("kind"),
+        (s["start"] + F.length(s["m"])).alias("end"), F.lower(s["m"]).alias("value"),
+        s["share"].alias("share"))).alias("_terms"))
 
 
 def sensitive_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -149,27 +181,30 @@ def sensitive_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     (start, kind, end, value, share), kind numbers being those of ``KINDS`` and then the term.
 
     A null text is empty and has no span. Equal rows get equal spans; spans of different kinds may
-    overlap; an empty table gives no rows. A term is marked where it stands beside its entity.
+    overlap; an empty table gives no rows. A term is marked wherever it stands in a text of its
+    entity, with its largest share there. Only texts with base spans travel, each different one once.
     """
     texts = docs.select(
         F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"),
         F.xxhash64(text).alias("_hash"))
-    found = base_spans(texts).withColumn("_contexts", F.flatten(F.transform(
-        "_spans", lambda s: _contexts(F.col("_text"), s))))
-    rows = stage(found.drop("_text"))
-    terms = disclosures(rows, texts.select("_text"))
-    marked = rows.filter(F.size("_contexts") > 0).select(
-        "_key", "_hash", F.explode("_contexts").alias("c")).select("_key", "_hash", "c.*").join(
-            terms, ["entity", "term"]).groupBy("_key", "_hash").agg(F.collect_set(F.struct(
-                "start", F.lit(len(KINDS)).alias("kind"), "end", F.col("term").alias("value"),
-                "share")).alias("_terms"))
+    rows = stage(base_spans(texts).withColumn("_masked", F.when(
+        F.size("_spans") > 0, _without_emails(F.col("_text")))).drop("_text"))
+    own = stage(rows.filter("_masked IS NOT NULL").groupBy("_hash").agg(
+        F.first("_masked").alias("_masked"), F.first(_entities(F.col("_spans"))).alias("_entities"),
+        F.count("*").alias("n")))
+    held = stage(_with_held(own).drop("_entities"))
+    terms = broadcast_if_small(disclosures(held, texts.select("_text")))
+    marks = _pairs(held, "_hash").join(terms, ["entity", "term"]).groupBy("_hash", "term").agg(
+        F.max("share").alias("share")).groupBy("_hash").agg(F.map_from_entries(
+            F.collect_list(F.struct("term", "share"))).alias("_marks"))
+    # Staged, so that adaptive execution can split the rows of a frequent text.
+    marked = stage(_term_spans(held.join(stage(marks), "_hash")))
     base = F.transform("r._spans", lambda s: F.struct(
         s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),
         s["value"].alias("value"), F.lit(None).cast("double").alias("share")))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,value:string,share:double>>")
-    return rows.alias("r").join(
-        marked.alias("m"), F.expr("r._key <=> m._key AND r._hash = m._hash"), "left").select(
-            "r._key", "r._hash", F.array_sort(F.concat(base, F.coalesce("m._terms", none))).alias("spans"))
+    return rows.alias("r").join(marked.alias("m"), F.expr("r._hash = m._hash"), "left").select(
+        "r._key", "r._hash", F.array_sort(F.concat(base, F.coalesce("m._terms", none))).alias("spans"))
 
 
 def as_text(spans: Column) -> Column:

@@ -386,6 +386,20 @@ def test_terms_that_disclose_an_entity(spark):
     assert texts[100] == (rows[6][1],)
 
 
+def test_terms_far_from_their_entity(spark):
+    """Over more than the 48 code points once looked at, before and behind, at the end of the text."""
+    far = "some plain words of no account " * 5
+    rows = [(i, f"Aardvark {i}, aardvark {far}boss@firm.com {far}Aardvark {i} zebra") for i in range(6)]
+    rows += [(100 + i, f"{far} and more of it, number {i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["_key"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == 4]
+           for r in privacy.sensitive_spans(df).collect()}
+    for i in range(6):
+        want = [m.span() for m in re.finditer("(?i)(?<=[^a-z])(aardvark|zebra)", rows[i][1])]
+        assert got[i] == want and len(want) == 3
+    assert not any(got[100 + i] for i in range(60))
+
+
 # -- op9 and the pipeline --------------------------------------------------------------------------
 
 def test_held_out_quality(spark):
