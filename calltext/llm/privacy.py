@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,10 @@ TERM_COUNTED = r"(?<!\p{L})\p{L}{3,}+"
 # entity's information content, and both stand together in this many different texts.
 DISCLOSURE = 0.8
 SUPPORT = 3
+# Kinds of entities and tokens of their values are entities too. What stands with them so often by
+# chance, over all pairs that were looked at, that this many are expected, is left out.
+CHANCE = 0.01
+EXACT, TOKEN, WHOLE_KIND = 0, 1, 2
 BLOCK = 256
 
 
@@ -112,7 +117,16 @@ def _without_emails(text: Column) -> Column:
 
 
 def _entities(spans: Column) -> Column:
-    return F.array_distinct(F.transform(spans, lambda s: s["value"]))
+    """Exact values, the tokens of three or more letters or digits in them, and their kinds."""
+    names = F.array(*(F.lit(k) for k in KINDS))
+    entity = lambda level, name: F.struct(
+        F.lit(level).alias("level"), name.alias("name"))
+    tokens = F.flatten(F.transform(spans, lambda s: F.transform(
+        F.regexp_extract_all(F.lower(s["value"]), F.lit("[a-z0-9]{3,}"), F.lit(0)),
+        lambda t: entity(TOKEN, F.concat_ws(" ", F.get(names, s["kind"]), t)))))
+    return F.array_distinct(F.concat(
+        F.transform(spans, lambda s: entity(EXACT, s["value"])), tokens,
+        F.transform(spans, lambda s: entity(WHOLE_KIND, F.get(names, s["kind"])))))
 
 
 def _terms(masked: Column) -> Column:
@@ -147,16 +161,27 @@ def disclosures(held: DataFrame, texts: DataFrame) -> DataFrame:
     counts of rows, PMI = log(n(t,e) N / (n(t) n(e))) and the information content of e is
     log(N / n(e)); their ratio is 1 for a term that occurs nowhere but in texts of e. Copies of one
     text count once for the support. Pairs are summed by each task first.
+
+    Frequent entities, as kinds are, meet rare terms by chance. For kinds and tokens the number k of
+    different texts must exceed what chance gives: with a mean of m = k / exp(PMI) it reaches k with a
+    probability of at most exp(k - m - k PMI) (Chernoff), and that times the number of terms and
+    entities with enough support is to stay within ``CHANCE``.
     """
     n = texts.count()
     pairs = _pairs(held, "n").groupBy("entity", "n_entity", "term").agg(
         F.sum("n").alias("both"), F.count("*").alias("support")).filter(F.col("support") >= SUPPORT)
-    terms = texts.select(F.explode(_terms(_without_emails(F.col("_text")))).alias("term")).groupBy(
-        "term").agg(F.count("*").alias("n_term")).filter(F.col("n_term") >= SUPPORT)
+    terms = stage(texts.select(F.explode(_terms(_without_emails(F.col("_text")))).alias(
+        "term")).groupBy("term").agg(F.count("*").alias("n_term")).filter(F.col("n_term") >= SUPPORT))
+    entities = held.select(F.explode("_held.entity").alias("entity")).filter(
+        F.col("entity.level") > EXACT).distinct().count()
+    looked_at = math.log(max(terms.count() * entities, 1) / CHANCE)
     pmi = F.log(F.col("both") * n / (F.col("n_term") * F.col("n_entity")))
     share = pmi / F.nullif(F.log(F.lit(float(n)) / F.col("n_entity")), F.lit(0.0))
-    return pairs.join(terms, "term").select("entity", "term", share.alias("share")).filter(
-        F.col("share") >= DISCLOSURE)
+    rare = F.col("support") * (pmi - 1 + F.exp(-pmi)) >= looked_at
+    return pairs.join(terms, "term").select(
+        "entity", "term", share.alias("share"), rare.alias("rare")).filter(
+            (F.col("share") >= DISCLOSURE) & ((F.col("entity.level") == EXACT) | F.col("rare"))
+    ).drop("rare")
 
 
 def _term_spans(texts: DataFrame) -> DataFrame:

@@ -400,6 +400,18 @@ def test_terms_far_from_their_entity(spark):
     assert not any(got[100 + i] for i in range(60))
 
 
+def test_terms_that_disclose_a_kind_or_a_token(spark):
+    """Every value stands in one text only; what stands with a kind three times may do so by chance."""
+    rows = [(i, f"the aardvark {i} at u{i}@firm{i}.com " + ("odd" if i < 3 else "")) for i in range(12)]
+    rows += [(50 + i, f"the zebra {i} at v{i}@stripes.org") for i in range(12)]
+    rows += [(100 + i, f"the plain words, number {i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["_key"]: {s["value"] for s in r["spans"] if s["kind"] == 4}
+           for r in privacy.sensitive_spans(df).collect()}
+    assert all(got[i] == {"aardvark"} and got[50 + i] == {"zebra"} for i in range(12))
+    assert not any(got[100 + i] for i in range(400))
+
+
 # -- op9 and the pipeline --------------------------------------------------------------------------
 
 def test_held_out_quality(spark):
