@@ -42,17 +42,50 @@ def _with_chunks(rows: DataFrame, roll: int, divisor: int, least: int) -> DataFr
     return digests.select("_key", "_hash", F.explode(chunks).alias("c")).select("_key", "_hash", "c.*")
 
 
-def _bytes(start: Column, end: Column) -> Column:
-    return F.array_join(F.slice(F.split("_text", SPLIT, -1), start + 1, end - start), SPLIT)
+def _with_windows(rows: DataFrame, least: int) -> DataFrame:
+    """The same for all windows of ``least`` lines, wherever they begin. ``again`` tells that the
+    same digest stood earlier in the text in lines that are none of this window's. Windows are
+    sorted by digest, so a frequent one costs no more than others; of ``least`` places before one
+    in that order, the last does not overlap it."""
+    hashed = rows.select("_key", "_hash", F.transform(
+        F.split("_text", SPLIT, -1), lambda line: F.xxhash64(line)).alias("_h"))
+    windows = hashed.filter(F.size("_h") >= least).withColumn("_s", F.array_sort(F.transform(
+        F.sequence(F.lit(0), F.size("_h") - least), lambda i: F.struct(
+            F.xxhash64(*(F.get("_h", i + j) for j in range(least))).alias("digest"),
+            i.alias("from")))))
+
+    def again(s: Column, i: Column) -> Column:
+        found = F.lit(False)
+        for k in range(1, least + 1):
+            other = F.get("_s", i - k)
+            found = found | F.coalesce((other["digest"] == s["digest"]) & (
+                other["from"] <= s["from"] - least), F.lit(False))
+        return found
+
+    placed = F.transform("_s", lambda s, i: F.struct(
+        s["from"].alias("from"), (s["from"] + least).alias("to"), s["digest"].alias("digest"),
+        again(s, i).alias("again")))
+    return windows.select("_key", "_hash", F.explode(placed).alias("c")).select("_key", "_hash", "c.*")
+
+
+def _union(spans: Column) -> Column:
+    """Sorted (from, to) without overlap: of each, what lies behind the ends of those before it.
+    Spans of equal length are sorted by both ends, so the one before has the last end."""
+    return F.filter(F.transform(spans, lambda s, i: F.struct(
+        F.greatest(s["from"], F.coalesce(F.get(spans, i - 1)["to"], F.lit(0))).alias("from"),
+        s["to"].alias("to"))), lambda s: s["from"] < s["to"])
 
 
 def without_repeated_chunks(
     docs: DataFrame, key: str = "doc_id", text: str = "text", roll: int = ROLL,
-    divisor: int = DIVISOR, least: int = LEAST_LINES,
+    divisor: int = DIVISOR, least: int = LEAST_LINES, windows: bool = False,
 ) -> DataFrame:
     """``(key, n_lines, n_removed, kept)`` for every row of ``docs``: its text without the chunks of
     ``least`` or more lines that stand earlier in it or in a row with a smaller key.
 
+    With ``windows`` every run of ``least`` lines is a chunk, and chunks overlap, so all lines of a
+    repeated passage of that length go, wherever it begins; without, the content-defined chunks.
+
     Chunks travel as a digest of their line hashes and their place. Of digests that occur more than
     once, the bytes follow, and a chunk goes only if its bytes equal those of the copy with the
     least key. The texts are dealt out once, by row; frequent chunks are summed by each task first,
@@ -65,7 +98,9 @@ def without_repeated_chunks(
     rows = docs.select(
         F.coalesce(F.col(key), F.lit(LAST_ID)).cast("long").alias("_key"),
         F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
-    chunks = stage(_with_chunks(rows.filter("_text IS NOT NULL"), roll, divisor, least))
+    with_text = rows.filter("_text IS NOT NULL")
+    chunks = stage(_with_windows(with_text, least) if windows else _with_chunks(
+        with_text, roll, divisor, least))
     # Staged, so that the join meets it in an exchange of its own: only then can adaptive execution
     # split the places of a frequent chunk.
     repeated = stage(chunks.groupBy("digest").agg(
@@ -74,14 +109,19 @@ def without_repeated_chunks(
     places = chunks.join(repeated, "digest").groupBy("_key", "_hash").agg(F.collect_set(F.struct(
         "from", "to", "digest", ((F.col("_key") == F.col("_least")) & ~F.col("again")).alias("first")
     )).alias("_places"))
-    spread = rows.join(places, ["_key", "_hash"]).select(
-        "_key", "_hash", "_text", F.explode("_places").alias("c"))
-    content = spread.select(
-        "_key", "_hash", "c.*", _bytes(F.col("c.from"), F.col("c.to")).alias("bytes"))
+    # Texts are split once: a column that is read twice is not put in where it is used.
+    parted = rows.join(places, ["_key", "_hash"]).withColumn("_lines", F.split("_text", SPLIT, -1))
+    content = parted.select("_key", "_hash", F.explode(F.transform("_places", lambda c: F.struct(
+        c["from"].alias("from"), c["to"].alias("to"),
+        c["digest"].alias("digest"), c["first"].alias("first"),
+        F.when(F.size("_lines") >= c["to"], F.array_join(F.slice(
+            "_lines", c["from"] + 1, c["to"] - c["from"]), SPLIT)).alias("bytes")))).alias("c")).select(
+                "_key", "_hash", "c.*")
     firsts = content.filter("first").select("digest", "bytes").distinct()
     copies = content.filter("NOT first").join(firsts, ["digest", "bytes"], "left_semi")
     removed = copies.groupBy("_key", "_hash").agg(
-        F.array_sort(F.collect_set(F.struct("from", "to"))).alias("_removed"))
+        F.array_sort(F.collect_set(F.struct("from", "to"))).alias("_spans")).select(
+            "_key", "_hash", _union(F.col("_spans")).alias("_removed"))
     joined = rows.join(removed, ["_key", "_hash"], "left").withColumn(
         "_lines", F.split("_text", SPLIT, -1)).withColumn(
             "_removed", F.coalesce("_removed", F.array().cast("array<struct<from:int,to:int>>")))

@@ -19,7 +19,7 @@ def op1_segmented_hosts(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the chunks of lines that stand elsewhere before."""
-    return lines.without_repeated_chunks(_table(spark, folder, "documents")).select(
+    return lines.without_repeated_chunks(_table(spark, folder, "documents"), windows=True).select(
         "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

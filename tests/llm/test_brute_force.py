@@ -128,6 +128,25 @@ def test_line_chunks_compare_bytes(spark):
     assert got[1] == (0,) and got[2][0] > 25
 
 
+def test_every_repeated_run_of_lines_goes(spark, docs):
+    extra = [(1, "p\nx\ny\nq"), (2, "a\nx\ny\nb"), (3, "x\ny\nq"), (4, "s\ns\ns\ns\ns"), (5, "x\nz\ny"),
+             (6, "v\nw\nv\nw\nu"), (7, ""), (8, "p")]
+    rows = [*((d - 10**6, t) for d, t in extra), *docs]
+    least, want = {}, {}
+    for doc, text in sorted(rows):
+        parts = text.split("\n")
+        pairs, gone, own = list(zip(parts, parts[1:])), set(), {}
+        for i, pair in enumerate(pairs):
+            if least.setdefault(pair, doc) < doc or own.setdefault(pair, i) <= i - 2:
+                gone |= {i, i + 1}
+        kept = [x for i, x in enumerate(parts) if i not in gone]
+        want[doc] = (len(gone), "\n".join(kept))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = by_id(lines.without_repeated_chunks(df, windows=True), "n_removed", "kept")
+    assert got == want
+    assert [got[d - 10**6][0] for d, _ in extra] == [0, 2, 3, 4 - 1, 0, 2, 0, 0]
+
+
 @pytest.mark.parametrize("hot", [40_000, 2])
 def test_super_kmers(spark, docs, monkeypatch, hot):
     monkeypatch.setattr(substrings, "HOT_COUNT", hot)
