@@ -179,6 +179,14 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray]) ->
     return CoTrained(tuple(models), tuple(scales), tuple(g / max(gain) for g in gain))
 
 
+def _one_per_key(rows: DataFrame, *extra: str) -> DataFrame:
+    """The row of each key with the least hash; each task reduces its own rows first."""
+    values = ("text", "lang", "source", *extra)
+    return rows.groupBy("key").agg(F.min(F.struct(
+        F.xxhash64(*values).alias("hash"), *values)).alias("r")).select(
+            "key", *(f"r.{c}" for c in values))
+
+
 def _sampled(rows: DataFrame, extra: list[str]) -> tuple[list[np.ndarray], list]:
     """Both views of a bounded number of rows, on the driver."""
 
@@ -223,7 +231,7 @@ def scored(
     ``KEEP_FROM``.
 
     The fit uses at most ``LABELLED`` labelled and ``POOL`` unlabelled documents, those with the
-    least hash of their key, the same ones in each run. All documents are scored where they are read.
+    least hash of their key, the same ones in each run; of rows with one key, one takes part. All documents are scored where they are read.
 
     Null texts, languages and sources are values like any other, an empty text has no features;
     rows with a null label or key do not take part in the fit. Without labels of both kinds there is
@@ -239,9 +247,9 @@ def scored(
     picked = known.orderBy(draw, "key").limit(LABELLED)
     others = rows.select("key").filter("key IS NOT NULL").distinct().join(
         known, "key", "left_anti").orderBy(draw, "key").limit(POOL)
-    # Both sides are bounded by the limits above.
-    views, (y,) = _sampled(rows.join(F.broadcast(picked), "key"), ["y"])
-    pool, _ = _sampled(rows.join(F.broadcast(others), "key"), [])
+    # Both sides are bounded by the limits above, as each key is reduced to one row.
+    views, (y,) = _sampled(_one_per_key(rows.join(F.broadcast(picked), "key"), "y"), ["y"])
+    pool, _ = _sampled(_one_per_key(rows.join(F.broadcast(others), "key")), [])
     model = co_train(views, (np.array(y) > 0).astype(float), pool) if len(y) else None
     kind = docs.schema[key].dataType.simpleString()
     return rows.mapInArrow(

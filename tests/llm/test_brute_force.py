@@ -433,6 +433,17 @@ def test_terms_that_disclose_a_kind_or_a_token(spark):
 
 # -- op9 and the pipeline --------------------------------------------------------------------------
 
+def test_one_row_of_a_key_takes_part(spark, monkeypatch):
+    rows = [(i % 20 if i < 400 else i, f"text {i} of words", "en", "web") for i in range(440)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(classifier, "co_train", lambda views, y, pool: seen.append(
+        (len(views[0]), len(y), len(pool[0]))))
+    assert classifier.scored(df, labels).count() == 440
+    assert seen == [(10, 10, 50)]
+
+
 def test_held_out_quality(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
