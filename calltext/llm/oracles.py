@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries that SQL can express.
 
-The others rest on hashes that DuckDB lacks (XXH64, CRC-32) or are no relational work (tiling,
-components, Viterbi, model fits); tests compare them with brute force.
+The others rest on a hash that DuckDB lacks (XXH64) or are no relational work (tiling, components,
+Viterbi, model fits); tests compare them with brute force. CRC-32 is taken a byte at a time.
 """
 
 from __future__ import annotations
@@ -130,8 +130,127 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND coalesce(within, true) AS kept
 FROM ruled LEFT JOIN judged USING (doc_id)"""
 
+# Unsigned CRC-32 of the UTF-8 bytes of a text, given as a table of texts ``(t)``: ``crc (t, crc)``.
+CRC = """
+step AS (
+    SELECT list(list_reduce([b::BIGINT] || range(8)::BIGINT[],
+                            lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY b) AS entries
+    FROM range(256) AS r(b)),
+crc AS (
+    SELECT t, xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(
+               range(1, octet_length(encode(t)) + 1),
+               lambda i: CAST('0x' || substr(hex(encode(t)), 2 * i - 1, 2) AS BIGINT)),
+           lambda c, b: xor(c >> 8, entries[1 + (xor(c, b) & 255)]))) AS crc
+    FROM texts CROSS JOIN step)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(count: str) -> str:
+    fields = ("doc_id", "source", "lang", count, "text")
+    return f"sha256(concat({', '.join(_field(f) for f in fields)}))"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes ``name (grp, depth, place, node, n)`` over ``leaves (grp, place, node, n)``, ``n`` being
+    how many nodes stand on a level."""
+    return f"""
+{name} AS (
+    SELECT grp, 0 AS depth, place, node, n FROM {leaves}
+    UNION ALL
+    SELECT grp, max(depth) + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)),
+           (max(n) + 1) // 2
+    FROM {name} WHERE n > 1 GROUP BY grp, place // 2)"""
+
+
+def _walk(name: str, start: str, tree: str) -> str:
+    """Rows of ``start (doc_id, grp, place, node, proof, ...)`` carried up ``tree`` to its root."""
+    return f"""
+{name}_steps AS (
+    SELECT doc_id, leaf, grp, 0 AS depth, place, node, proof FROM {start}
+    UNION ALL
+    SELECT doc_id, leaf, w.grp, w.depth + 1, w.place // 2,
+           sha256(CASE WHEN t.node IS NULL THEN w.node WHEN w.place % 2 = 1 THEN t.node || w.node
+                       ELSE w.node || t.node END),
+           proof || coalesce(t.node, '')
+    FROM {name}_steps AS w JOIN {tree}_heights AS h ON w.grp = h.grp AND w.depth < h.height
+    LEFT JOIN {tree} AS t ON t.grp = w.grp AND t.depth = w.depth AND t.place = xor(w.place, 1)),
+{name} AS (
+    SELECT w.* FROM {name}_steps AS w JOIN {tree}_heights AS h ON w.grp = h.grp AND depth = height)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE texts AS (SELECT DISTINCT doc_id::VARCHAR AS t FROM documents),
+{CRC},
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id, leaf) - 1 AS place, leaf AS node,
+           count(*) OVER (PARTITION BY grp) AS n
+    FROM (
+        SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp,
+               {_leaf('n_chars')} AS leaf,
+               CASE WHEN crc % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS now
+        FROM documents JOIN crc ON t = doc_id::VARCHAR)),
+{_tree('langs', 'leaves')},
+langs_heights AS (SELECT grp, max(depth) AS height FROM langs GROUP BY grp),
+subroots AS (SELECT 0 AS grp, grp AS place, node, count(*) OVER () AS n FROM langs WHERE n = 1),
+{_tree('top', 'subroots')},
+top_heights AS (SELECT grp, max(depth) AS height FROM top GROUP BY grp),
+starts AS (SELECT doc_id, leaf, grp, place, now AS node, '' AS proof FROM leaves),
+{_walk('inside', 'starts', 'langs')},
+crossing AS (SELECT doc_id, leaf, 0 AS grp, grp AS place, node, proof FROM inside),
+{_walk('outside', 'crossing', 'top')}
+SELECT o.doc_id, o.leaf, s.node AS subroot, r.node AS root, sha256(o.proof) AS proof_sha256,
+       o.node AS folded_root, o.node = r.node AS verified
+FROM outside AS o JOIN inside AS i USING (doc_id, leaf) JOIN subroots AS s ON i.grp = s.place
+CROSS JOIN (SELECT node FROM top WHERE n = 1) AS r"""
+
+VARIANTS = rf"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents),
+counted AS (
+    SELECT doc_id || ':' || run AS t, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+texts AS (SELECT t FROM counted),
+{CRC},
+slipped AS (
+    SELECT CASE WHEN crc % 31 = 0 THEN substr(run, 1, crc % length(run))
+                     || substr(run, crc % length(run) + 2) ELSE run END AS word, n AS times
+    FROM counted JOIN crc USING (t)),
+words AS (
+    SELECT word, sum(times)::BIGINT AS n FROM slipped WHERE length(word) >= 7
+    GROUP BY word HAVING sum(times) >= 2),
+shorter AS (
+    SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words)),
+indels AS (
+    SELECT DISTINCT w.word, w.n, s.word AS other, s.n AS other_n
+    FROM words AS w JOIN shorter AS s ON w.word = s.rest),
+near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n
+    FROM shorter AS a JOIN shorter AS b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+    UNION ALL SELECT * FROM indels
+    UNION ALL SELECT other, other_n, word, n FROM indels),
+best AS (
+    SELECT word, n, count(*) AS n_near, max(other_n) AS most,
+           first(other ORDER BY other_n DESC, other) AS other
+    FROM near GROUP BY word, n),
+forms AS (SELECT word, other AS form, most AS form_n FROM best WHERE most >= 10 * n),
+chain AS (
+    SELECT word, form AS last_form, 1 AS step FROM forms
+    UNION ALL SELECT c.word, f.form, step + 1 FROM chain AS c JOIN forms AS f ON c.last_form = f.word)
+SELECT w.word, form, coalesce(root, w.word) AS root, w.n, coalesce(n_near, 0) AS n_near, form_n
+FROM words AS w LEFT JOIN best AS b ON b.word = w.word LEFT JOIN forms AS f ON f.word = w.word
+LEFT JOIN (SELECT word, last(last_form ORDER BY step) AS root FROM chain GROUP BY word) AS r
+    ON r.word = w.word"""
+
 ORACLES = {
     "op3_super_kmer_dedup": SUPER_KMERS,
     "op5_curriculum_mix": CURRICULUM,
     "op8_adaptive_quality": ADAPTIVE,
+    "op11_merkle_versions": MERKLE,
+    "op13_bit_sliced_variants": VARIANTS,
 }

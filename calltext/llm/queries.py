@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltext.llm import classifier, decontamination, lines, mixing, privacy, quality, sharding, simhash, substrings, urls
+from calltext.llm import (
+    classifier, decontamination, lines, merkle, mixing, privacy, quality, sharding, simhash, spelling,
+    substrings, urls,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -81,7 +84,20 @@ def op10_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, folder, "documents"))
 
 
+def op11_merkle_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its proof and the root that its version has."""
+    tree = merkle.Manifest(merkle.tampered(_table(spark, folder, "documents")))
+    return tree.proofs().select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_bit_sliced_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every frequent word with the form that it is a variant of."""
+    return spelling.variants(spelling.words(_table(spark, folder, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_segmented_hosts, op2_line_chunks, op3_super_kmer_dedup, op4_benchmark_tiling, op5_curriculum_mix,
     op6_simhash_planes, op7_disclosing_terms, op8_adaptive_quality,
-    op9_cotrained_quality, op10_minimax_shards)}
+    op9_cotrained_quality, op10_minimax_shards, op11_merkle_versions, op13_bit_sliced_variants)}
