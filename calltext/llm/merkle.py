@@ -60,12 +60,12 @@ def levels(nodes: list[str], height: int) -> list[list[str]]:
 
 
 def siblings(tree: list[list[str]], at: int) -> list[tuple[str, str]]:
-    """For each level of a block the side and digest of the other node of the pair, or two empty
-    strings."""
+    """For each level of a block the side and digest of the other node of the pair, or ``-`` and
+    nothing."""
     path = []
     for nodes in tree[:-1]:
         other = at ^ 1
-        path.append(("L" if other < at else "R", nodes[other]) if other < len(nodes) else ("", ""))
+        path.append(("L" if other < at else "R", nodes[other]) if other < len(nodes) else ("-", ""))
         at >>= 1
     return path
 
