@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calltext.llm import (
-    classifier, decontamination, lines, merkle, mixing, privacy, quality, sharding, simhash, spelling,
-    substrings, urls,
+    classifier, decontamination, extraction, lines, merkle, mixing, privacy, quality, sharding,
+    simhash, spelling, substrings, urls,
 )
 
 
@@ -92,6 +92,12 @@ def op11_merkle_versions(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_recurrent_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page with its main text."""
+    pages = _table(spark, folder, "pages")
+    return extraction.main_texts(pages, extraction.fitted(pages), "html", "page_id", "url")
+
+
 def op13_bit_sliced_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Every frequent word with the form that it is a variant of."""
     return spelling.variants(spelling.words(_table(spark, folder, "documents")))
@@ -100,4 +106,5 @@ def op13_bit_sliced_variants(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_segmented_hosts, op2_line_chunks, op3_super_kmer_dedup, op4_benchmark_tiling, op5_curriculum_mix,
     op6_simhash_planes, op7_disclosing_terms, op8_adaptive_quality,
-    op9_cotrained_quality, op10_minimax_shards, op11_merkle_versions, op13_bit_sliced_variants)}
+    op9_cotrained_quality, op10_minimax_shards, op11_merkle_versions,
+    op12_recurrent_blocks, op13_bit_sliced_variants)}
