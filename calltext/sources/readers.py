@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from calltext.sources.writers import recover
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table."""
+    """A catalog table or a published name."""
+    recover(spark, name)
     return spark.read.table(name)
 
 

@@ -1,8 +1,11 @@
 from datetime import datetime
 
 from calltext.plans.features import syllable_lexicon
-from calltext.plans.jobs import run_linguistic_features, run_syllables
+from calltext.plans.jobs import (
+    once_per_batch, read_arriving, run_linguistic_features, run_syllables, stream_linguistic_features,
+)
 from calltext.schemas import CALLS, SPEAKER_DATA
+from calltext.sources import keyed
 from tests.conftest import rows
 
 V1, V2 = datetime(2005, 1, 1), datetime(2006, 1, 1)
@@ -67,3 +70,54 @@ def test_empty_calls_do_not_hold_up_a_limited_run(spark):
             for _ in range(3)]
     assert took == [[("a",), ("b",)], [("c",), ("d",)], []]
     assert rows(spark.table("empty_job"), "file_name", "negative") == [("c", 1), ("d", 0)]
+
+
+def test_stream_makes_the_table_of_the_batch_job(spark, tmp_path):
+    lexicon = spark.createDataFrame([("negative", "loss")], "category string, word string")
+    spoken = _spoken(spark, ("a", V1, 1, "loss of 7"), ("a", V1, 2, "gain"), ("b", V1, 1, "loss loss"),
+                     ("c", V1, 1, "none"), ("other", V1, 1, "loss"), ("c", V2, 1, "no loss 3"))
+    keyed.create_keyed_table(spoken, "stream_passages", "file_name", buckets=8)
+    arriving, kept = str(tmp_path / "calls"), str(tmp_path / "kept")
+    batches = [_calls(spark, ("a", V1, 1), ("b", V1, 1)), _calls(spark, ("c", V1, 1), ("other", V1, 2)),
+               _calls(spark, ("a", V1, 1), ("c", V2, 1))]
+    for number, part in enumerate(batches):
+        part.coalesce(1).write.mode("append").parquet(arriving)
+        if number != 1:  # the first, then two at once
+            calls = read_arriving(spark, arriving, CALLS, files=1)
+            stream_linguistic_features(calls, "stream_passages", lexicon, "ling_stream", kept,
+                                       buckets=4).awaitTermination()
+    whole = batches[0].unionByName(batches[1]).unionByName(batches[2])
+    run_linguistic_features(whole, spoken, lexicon, "ling_batch", buckets=4)
+    shown = ("file_name", "last_update", "speaker_number", "negative", "num_count")
+    wanted = rows(spark.table("ling_batch"), *shown)
+    assert rows(spark.table("ling_stream"), *shown) == wanted and len(wanted) == 5
+    assert rows(spark.table("ling_stream_batches")) == [("calls", 0), ("calls", 1), ("calls", 2)]
+
+
+def test_a_repeated_batch_is_left_alone(spark):
+    seen = []
+    each = once_per_batch(lambda batch: seen.append(batch.count()), "repeat_job", "s")
+    for number in (0, 0, 1, 0):
+        each(spark.range(number + 1), number)
+    once_per_batch(lambda batch: seen.append(-1), "repeat_job", "other")(spark.range(1), 0)
+    assert seen == [1, 2, -1]
+
+    def fails(batch):
+        raise RuntimeError("stop")
+
+    for _ in range(2):
+        try:
+            once_per_batch(fails, "repeat_job", "s")(spark.range(1), 5)
+        except RuntimeError:
+            seen.append("again")
+    assert seen[-2:] == ["again", "again"]
+
+
+def test_an_older_table_gives_its_keys_to_the_record_once(spark):
+    lexicon = spark.createDataFrame([("negative", "loss")], "category string, word string")
+    calls = _calls(spark, ("a", V1, 1), ("b", V1, 1))
+    spoken = _spoken(spark, ("a", V1, 1, "loss"), ("b", V1, 1, "loss"))
+    run_linguistic_features(calls.filter("file_name = 'a'"), spoken, lexicon, "old_job", buckets=4)
+    spark.sql("DROP TABLE old_job_done")
+    assert rows(run_linguistic_features(calls, spoken, lexicon, "old_job"), "file_name") == [("b",)]
+    assert rows(spark.table("old_job_done"), "file_name") == [("a",), ("b",)]

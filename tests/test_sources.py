@@ -3,12 +3,13 @@ from datetime import datetime
 import pyarrow as pa
 import pytest
 from pyarrow import feather
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from calltext import schemas
 from calltext.operators.staging import broadcast_if_small, stage
 from calltext.plans.features import lexicon_table
-from calltext.sources import readers, writers
+from calltext.sources import keyed, readers, writers
 from tests.conftest import rows
 
 
@@ -66,25 +67,6 @@ def test_tables(spark, tmp_path):
     assert rows(readers.read_sheet(spark, str(tmp_path / "out"), "k int, v string")) == [(1, "it's")]
 
 
-def test_upsert_rewrites_only_the_touched_partitions(spark):
-    df = spark.range(40).select(F.concat(F.lit("f"), "id").alias("file_name"), F.lit(1).alias("v"))
-    writers.create_upsert_table(df, "upsert_rows", "file_name", buckets=8)
-    before = {r[0]: r[1] for r in spark.table("upsert_rows").select(
-        "key_bucket", F.input_file_name()).distinct().collect()}
-    new = spark.createDataFrame([("f1", 2), ("f1", 3), ("new", 4)], "file_name string, v int")
-    processed = spark.createDataFrame([("f1",), ("f2",), ("new",)], "file_name string")
-    for _ in range(2):  # the second time changes nothing
-        writers.upsert_table(new, processed, "upsert_rows", "file_name", buckets=8)
-        got = rows(spark.table("upsert_rows"), "file_name", "v")
-        assert len(got) == 41 and ("f1", 2) in got and ("f1", 3) in got and ("new", 4) in got
-        assert not any(f == "f2" for f, _ in got)
-    touched = {r[0] for r in writers.with_bucket(processed, "file_name", 8).select(
-        "key_bucket").collect()}
-    after = {r[0]: r[1] for r in spark.table("upsert_rows").select(
-        "key_bucket", F.input_file_name()).distinct().collect()}
-    assert all(after[b] == before[b] for b in before if b not in touched)
-
-
 def test_a_failing_write_leaves_the_old_table(spark):
     df = spark.createDataFrame([(1, "old")], "k int, v string")
     writers.overwrite_table(df, "kept_rows")
@@ -96,34 +78,6 @@ def test_a_failing_write_leaves_the_old_table(spark):
     assert rows(spark.table("kept_rows")) == [(1, "new")]
 
 
-def test_upsert_refuses_another_number_of_buckets(spark):
-    df = spark.range(20).select(F.concat(F.lit("f"), "id").alias("file_name"), F.lit(1).alias("v"))
-    writers.create_upsert_table(df, "fixed_rows", "file_name", buckets=8)
-    with pytest.raises(ValueError, match="8 buckets"):
-        writers.upsert_table(df, df, "fixed_rows", "file_name", buckets=3)
-    writers.upsert_table(df, df, "fixed_rows", "file_name")
-    assert spark.table("fixed_rows").count() == 20
-
-
-def test_new_keys_rewrite_no_partition(spark):
-    df = spark.range(40).select(F.concat(F.lit("f"), "id").alias("file_name"), F.lit(1).alias("v"))
-    writers.create_upsert_table(df, "grown_rows", "file_name", buckets=4)
-    files = lambda: {r[0] for r in spark.table("grown_rows").select(
-        F.input_file_name()).distinct().collect()}
-    before = files()
-    new = spark.range(40, 60).select(
-        F.concat(F.lit("f"), "id").alias("file_name"), F.lit(2).alias("v"))
-    writers.upsert_table(new, new, "grown_rows", "file_name")
-    assert before < files() and spark.table("grown_rows").count() == 60
-
-
-def test_upsert_that_empties_a_partition(spark):
-    df = spark.createDataFrame([("only", 1)], "file_name string, v int")
-    writers.create_upsert_table(df, "emptied_rows", "file_name", buckets=4)
-    writers.upsert_table(df.limit(0), df, "emptied_rows", "file_name", buckets=4)
-    assert spark.table("emptied_rows").count() == 0
-
-
 def test_stage_writes_to_the_named_folder(spark):
     df = stage(spark.range(5).withColumn("t", F.lit(datetime(2005, 1, 1))))
     assert df.count() == 5
@@ -135,3 +89,153 @@ def test_broadcast_only_within_the_limit(spark, limit, expected):
     df = broadcast_if_small(spark.range(50).select(F.col("id").cast("string").alias("word")), limit)
     plan = df._jdf.queryExecution().analyzed().toString()
     assert ("broadcast" in plan) == expected and df.count() == 50
+
+
+# -- publishing --------------------------------------------------------------------------------------
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", range(1, 6))
+@pytest.mark.parametrize("before", ["nothing", "plain", "published"])
+def test_publishing_stopped_at_each_step(spark, monkeypatch, step, before):
+    """Every statement that changes the catalog is a step; the run stops before one of them."""
+    table = f"stopped_{before}_{step}"
+    old = spark.createDataFrame([(1, "old")], "k int, v string")
+    if before == "plain":
+        old.write.saveAsTable(table)
+    elif before == "published":
+        writers.overwrite_table(old, table)
+    count = [0]
+    run, save = type(spark).sql, DataFrameWriter.saveAsTable
+
+    def counted(inner):
+        def call(self, *args, **kwargs):
+            if inner is save or not args[0].startswith(("SHOW", "DESCRIBE")):
+                count[0] += 1
+                if count[0] == step:
+                    raise Stopped
+            return inner(self, *args, **kwargs)
+        return call
+
+    monkeypatch.setattr(type(spark), "sql", counted(run))
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", counted(save))
+    # The new content has another schema.
+    new = spark.createDataFrame([(1, "new", 2)], "k int, v string, more int")
+    stopped = False
+    try:
+        writers.overwrite_table(new, table)
+    except Stopped:
+        stopped = True
+    monkeypatch.undo()
+    if before == "nothing" and stopped and not writers.versions(spark, table):
+        assert not spark.catalog.tableExists(table)
+    else:
+        wanted = [("old",), ("new",)] if stopped else [("new",)]
+        assert rows(readers.read_table(spark, table), "v")[0] in wanted
+    writers.overwrite_table(new, table)
+    assert rows(readers.read_table(spark, table)) == [(1, "new", 2)]
+    assert len(writers.versions(spark, table)) == 1
+
+
+def test_versions_stay_for_readers_that_began_before(spark):
+    writers.overwrite_table(spark.range(3), "long_read")
+    reading = spark.table("long_read")
+    writers.overwrite_table(spark.range(5), "long_read", keep=1)
+    assert reading.count() == 3 and spark.table("long_read").count() == 5
+    writers.overwrite_table(spark.range(7), "long_read", keep=1)
+    assert len(writers.versions(spark, "long_read")) == 2
+    writers.comment_table(spark, "long_read", "it's a \\ test")
+    comment = spark.sql("DESCRIBE TABLE EXTENDED long_read").filter("col_name = 'Comment'").first()
+    assert comment["data_type"] == "it's a \\ test"
+
+
+# -- keyed tables ------------------------------------------------------------------------------------
+
+def _files(spark, table):
+    version = writers.properties(spark, table)[writers.VERSION]
+    return set(spark.table(version).inputFiles())
+
+
+def _numbered(spark, low, high, v):
+    return spark.range(low, high).select(
+        F.concat(F.lit("f"), "id").alias("file_name"), F.lit(v).alias("v"))
+
+
+def test_replacing_keys_touches_no_file(spark):
+    keyed.create_keyed_table(_numbered(spark, 0, 40, 1), "keyed_rows", "file_name", buckets=8)
+    before = _files(spark, "keyed_rows")
+    new = spark.createDataFrame([("f1", 2), ("f1", 3), ("new", 4), (None, 5)], "file_name string, v int")
+    processed = spark.createDataFrame([("f1",), ("f2",), ("new",), (None,), ("none",)], "file_name string")
+    for turn in range(3):  # repeating it changes nothing
+        keyed.replace_keys(new, processed, "keyed_rows")
+        got = rows(spark.table("keyed_rows"), "file_name", "v")
+        assert len(got) == 42 and {("f1", 2), ("f1", 3), ("new", 4), (None, 5)} <= set(got)
+        assert not any(f in ("f2", "none") for f, _ in got) and ("f1", 1) not in got
+        assert before < _files(spark, "keyed_rows")
+    # Worked on again without rows: gone.
+    keyed.replace_keys(new.filter("v = 2"), processed.filter("file_name = 'f1' OR file_name IS NULL"), "keyed_rows")
+    got = rows(spark.table("keyed_rows"), "file_name", "v")
+    assert ("f1", 2) in got and ("f1", 3) not in got and (None, 5) not in got and ("new", 4) in got
+
+
+def test_compacting_keeps_the_rows_and_few_files(spark):
+    keyed.create_keyed_table(_numbered(spark, 0, 40, 1), "compact_rows", "file_name", buckets=4)
+    for turn in range(3):
+        part = _numbered(spark, 10 * turn, 10 * turn + 12, turn + 2)
+        keyed.replace_keys(part, part, "compact_rows")
+    shown, many = rows(spark.table("compact_rows"), "file_name", "v"), len(_files(spark, "compact_rows"))
+    reading = spark.table("compact_rows")
+    keyed.compact(spark, "compact_rows", keep=1)
+    assert rows(spark.table("compact_rows"), "file_name", "v") == shown == rows(reading, "file_name", "v")
+    assert len(_files(spark, "compact_rows")) <= 4 < many
+    part = _numbered(spark, 0, 1, 99)
+    keyed.replace_keys(part, part, "compact_rows")
+    assert ("f0", 99) in rows(spark.table("compact_rows"), "file_name", "v")
+
+
+def test_what_a_failed_run_left_is_overruled(spark):
+    keyed.create_keyed_table(_numbered(spark, 0, 4, 1), "failed_rows", "file_name", buckets=2)
+    part = _numbered(spark, 0, 2, 2)
+    keyed.replace_keys(part, part, "failed_rows")
+    # As if some files of another change had been written before the run ended.
+    version = writers.properties(spark, "failed_rows")[writers.VERSION]
+    half = spark.table(version).filter("key_sequence = 1 AND file_name = 'f0' AND NOT key_mark").withColumns(
+        {"key_sequence": F.lit(2).cast("long"), "v": F.lit(-1)})
+    half.write.mode("append").partitionBy("key_bucket").saveAsTable(version)
+    again = _numbered(spark, 0, 2, 3)
+    keyed.replace_keys(again, again, "failed_rows")
+    assert rows(spark.table("failed_rows"), "file_name", "v") == [("f0", 3), ("f1", 3), ("f2", 1), ("f3", 1)]
+
+
+def test_keyed_tables_refuse_what_does_not_fit(spark):
+    df = _numbered(spark, 0, 20, 1)
+    keyed.create_keyed_table(df, "fixed_rows", "file_name", buckets=8)
+    with pytest.raises(ValueError, match="8 buckets"):
+        keyed.replace_keys(df, df, "fixed_rows", buckets=3)
+    with pytest.raises(ValueError, match="not processed"):
+        keyed.replace_keys(df, df.limit(1), "fixed_rows")
+    assert spark.table("fixed_rows").count() == 20
+    df.write.saveAsTable("unkeyed_rows")
+    with pytest.raises(ValueError, match="no keyed table"):
+        keyed.replace_keys(df, df, "unkeyed_rows")
+    empty = spark.createDataFrame([], df.schema)
+    assert keyed.create_keyed_if_absent(spark, "empty_rows", df.schema, "file_name", 4)
+    assert not keyed.create_keyed_if_absent(spark, "empty_rows", df.schema, "file_name", 4)
+    keyed.replace_keys(empty, empty, "empty_rows")
+    assert spark.table("empty_rows").count() == 0
+
+
+def test_a_batch_lists_only_its_partitions(spark):
+    keyed.create_keyed_table(_numbered(spark, 0, 400, 1), "pruned_rows", "file_name", buckets=64)
+    keys = spark.createDataFrame([("f7",), ("f8",), ("f8",), ("absent",)], "file_name string")
+    batch = keyed.rows_of_keys(spark, "pruned_rows", keys)
+    assert rows(batch) == [("f7", 1), ("f8", 1)]
+    numbers = {r[0] for r in keyed.with_bucket(keys, "file_name", 64).select("key_bucket").collect()}
+    listed = {int(f.split("key_bucket=")[1].split("/")[0]) for f in batch.inputFiles()}
+    assert listed <= numbers and 2 <= len(listed) <= 3
+    # The scan of the marks is pruned as well.
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(key_bucket") + plan.count("PartitionFilters: [key_bucket") \
+        + plan.count("PartitionFilters: [(key_bucket") >= 2, plan
