@@ -79,13 +79,16 @@ def forward_looking_share(
 
 # A number with thousands separators, or a run of word characters that may hold . ' - / inside.
 WORD = rf"[0-9][0-9.,]*,[0-9]+(?:\.[0-9]+)?|{W}(?:[\p{{L}}\p{{N}}_.'’/-]*{W})?"
-NEGATION = rf"(?i)(\p{{L}})(n['’]t)({NOT_W}|$)"
-CLITIC = rf"(?i)['’](?:s|m|d|ll|re|ve)({NOT_W}|$)"
+APOSTROPHE = "['’]"
+# Where a negation is cut off from its verb, and the endings that are left out.
+CUT = (rf"(?i)(?=n['’]t(?:{NOT_W}|$))(?<=\p{{L}})"
+       rf"|['’](?:s|m|d|ll|re|ve)(?={NOT_W}|$)")
 
 
 def words(text: Column | str) -> Column:
     """Words in order: ``don't`` gives ``do`` and ``n't``, endings such as ``'s`` are dropped."""
-    apart = F.regexp_replace(F.regexp_replace(text, NEGATION, "$1 $2$3"), CLITIC, " $1")
+    text = F.col(text) if isinstance(text, str) else text
+    apart = F.when(text.rlike(APOSTROPHE), F.regexp_replace(text, CUT, " ")).otherwise(text)
     return F.regexp_extract_all(apart, F.lit(WORD), F.lit(0))
 
 
@@ -94,19 +97,9 @@ def tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{W}+"), F.lit(0))
 
 
-def spaced_tokens(text: Column | str) -> Column:
-    """The tokens, each with what stands between it and the next."""
-    return F.regexp_extract_all(text, F.lit(f"{W}+{NOT_W}*"), F.lit(0))
-
-
-def phrases(found: Column, spaced: Column, length: int) -> Column:
-    """Every ``length`` of the ``found`` tokens in a row, with what stands between them. Both
-    arguments should be plain columns, or they are computed again for every token."""
-    starts = F.when(F.array_size(found) >= length,
-                    F.sequence(F.lit(0), F.array_size(found) - length))
-    texts = F.transform(starts, lambda i: F.concat(
-        F.array_join(F.slice(spaced, i + 1, length - 1), ""), F.get(found, i + length - 1)))
-    return F.coalesce(texts, F.array().cast("array<string>"))
+def led_tokens(text: Column | str) -> Column:
+    """The tokens, each with what stands between it and the one before."""
+    return F.regexp_extract_all(text, F.lit(f"{NOT_W}*+{W}++"), F.lit(0))
 
 
 def competition_mentions(
@@ -119,14 +112,18 @@ def competition_mentions(
     ``exclude`` tells whether there is one. Passages without a mention vanish.
     """
     # The word alone decides whether there is a match; the costlier pattern runs on those rows only.
-    pattern = rf"((?:{W}+{NOT_W}+){{0,3}})({word})"
+    # Words before it begin where a word begins and are not tried again in part.
+    pattern = rf"((?:(?<!{W})(?:{W}++{NOT_W}++){{1,3}})?)({word})"
     negated = rf"{NOT_W}(?:{'|'.join(negators)}){NOT_W}"
+    found = passages.filter(F.col(text).rlike(word)).withColumn(
+        "__found", F.regexp_extract(text, pattern, 0))
+    # The match is a few words, so both parts are taken from it and not from the text again.
     return (
-        passages.filter(F.col(text).rlike(word))
-        .withColumns({
-            "preceding_words": F.regexp_extract(text, pattern, 1),
-            "competition_word": F.regexp_extract(text, pattern, 2),
+        found.withColumns({
+            "preceding_words": F.regexp_extract("__found", pattern, 1),
+            "competition_word": F.regexp_extract("__found", pattern, 2),
         })
+        .drop("__found")
         .withColumn(
             "exclude_matches",
             F.when(F.col("preceding_words").rlike(negated),

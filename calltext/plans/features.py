@@ -13,9 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calltext.functions.passages import (
-    W, number_count, phrases, sentences, spaced_tokens, tokens, words,
-)
+from calltext.functions.passages import W, led_tokens, number_count, sentences, tokens, words
 from calltext.operators.incremental import of_todo_files, replace_by_key
 from calltext.operators.staging import broadcast_if_small
 from calltext.schemas import LINGUISTIC_FEATURES, TONE_CATEGORIES
@@ -52,6 +50,48 @@ def _carried(passages: DataFrame, text: str, carry: Sequence[str] | None) -> lis
     return list(carry) if carry is not None else [c for c in passages.columns if c != text]
 
 
+def token_trie(lexicon: DataFrame, categories: Sequence[str] = TONE_CATEGORIES) -> DataFrame:
+    """The entries of ``lexicon (category, word)`` as a trie of their tokens: a row ``(level, node,
+    label, child)`` for each step, ``label`` being the next token as it is written, with what stands
+    before it, and a number per category that is 1 where an entry of the category ends at ``child``.
+
+    An entry that does not begin and end with a word character raises an error.
+    """
+    whole = F.col("word").rlike(rf"(?s)^{W}(?:.*{W})?$")
+    checked = F.when(whole, F.col("word")).otherwise(
+        F.raise_error(F.concat(F.lit("not a whole word: "), F.col("word"))))
+    entries = lexicon.filter(F.col("word") != _MARKER).select(
+        "category", led_tokens(checked).alias("parts"))
+    steps = entries.select(
+        "category", "parts", F.posexplode("parts").alias("place", "label")).select(
+        (F.col("place") + 1).alias("level"), "label",
+        F.array_join(F.slice("parts", F.lit(1), F.col("place")), "").alias("node"),
+        F.array_join(F.slice("parts", F.lit(1), F.col("place") + 1), "").alias("child"),
+        F.when(F.col("place") + 1 == F.size("parts"), F.col("category")).alias("ends"))
+    return steps.groupBy("level", "node", "label", "child").agg(*(
+        F.max(F.when(F.col("ends") == c, 1).otherwise(0)).alias(c) for c in categories))
+
+
+def _stepped(passages: DataFrame, carry: Sequence[str], text: str, ahead: Sequence[Column]) -> DataFrame:
+    """One row per token and one with the marker, as ``carry..., __digest, __word`` and the tokens
+    after it, ``__next2``, ``__next3`` and so on, as they are written."""
+    found = F.coalesce(tokens(text), F.array().cast("array<string>"))
+    led = [F.coalesce(led_tokens(text), F.array().cast("array<string>")).alias("__led")] if ahead else []
+    digested = passages.select(
+        *carry, F.unhex(F.sha2(text, 256)).alias("__digest"), found.alias("__tokens"), *led)
+    none = F.array(F.lit(None).cast("string"))
+    names = [f"__next{k + 2}" for k in range(len(ahead))]
+    # The marker stands first, so what follows it is nothing.
+    zipped = F.arrays_zip(
+        F.concat(F.array(F.lit(_MARKER)), F.col("__tokens")).alias("__word"),
+        *(F.concat(none, column).alias(name) for name, column in zip(names, ahead)))
+    together = digested.select(*carry, "__digest", zipped.alias("__items"))
+    # The outer form: for the inner one the optimizer adds a check for empty arrays next to the
+    # scan, which would split every text twice. The marker keeps the array from being empty.
+    return together.select(*carry, "__digest", F.explode_outer("__items").alias("__item")).select(
+        *carry, "__digest", *(F.col(f"__item.`{name}`").alias(name) for name in ["__word", *names]))
+
+
 def tone_counts(
     passages: DataFrame, lexicon: DataFrame, text: str = "speaker_text",
     carry: Sequence[str] | None = None, categories: Sequence[str] = TONE_CATEGORIES,
@@ -60,32 +100,36 @@ def tone_counts(
 
     Matching keeps case. ``lexicon`` holds ``category, word``. An entry of several tokens, such as
     ``well-known`` or ``can't``, counts wherever it stands as it is written, also beside a shorter
-    entry within it. One that does not begin and end with a word character cannot be a whole word;
-    it raises an error. NULL text gives NULL counts.
+    entry within it: tokens walk down a trie of the entries, one join a level. NULL text gives NULL
+    counts.
     """
     carry = _carried(passages, text, carry)
-    whole = F.col("word").rlike(rf"(?s)^{W}(?:.*{W})?$")
-    lexicon = lexicon.withColumn("word", F.when(whole | (F.col("word") == _MARKER), F.col("word"))
-                                 .otherwise(F.raise_error(F.concat(
-                                     F.lit("not a whole word: "), F.col("word")))))
+    trie = token_trie(lexicon, categories)
     # As many values as the longest entry has tokens.
-    sizes = sorted(r[0] for r in lexicon.select(
-        F.array_size(tokens("word"))).distinct().collect() if r[0])
-    items = tokens(text)
-    if max(sizes, default=1) > 1:
-        passages = passages.withColumns({"__t": tokens(text), "__s": spaced_tokens(text)})
-        found, spaced = F.col("__t"), F.col("__s")
-        items = F.concat(found, *(phrases(found, spaced, n) for n in sizes if n > 1))
-    flags = lexicon.groupBy("word").agg(*[
-        F.max((F.col("category") == c).cast("int")).alias("__" + c) for c in categories])
+    depth = trie.agg(F.coalesce(F.max("level"), F.lit(1))).first()[0]
+    levels = broadcast_if_small(trie.unionByName(lexicon.sparkSession.range(1).select(
+        F.lit(1).alias("level"), F.lit("").alias("node"), F.lit(_MARKER).alias("label"),
+        F.lit(_MARKER).alias("child")), allowMissingColumns=True))
+
+    def level(k: int) -> DataFrame:
+        return levels.filter(F.col("level") == k).select(
+            F.col("node").alias(f"__from{k}"), F.col("label").alias(f"__label{k}"),
+            F.col("child").alias(f"__node{k}"), *(F.col(c).alias(f"__{k}_{c}") for c in categories))
+
+    ahead = [F.slice("__led", k, F.greatest(F.size("__led"), F.lit(0))) for k in range(2, depth + 1)]
+    found = _stepped(passages, carry, text, ahead)
+    # Most tokens begin no entry and end here. The others carry their next tokens down the trie.
+    walked = found.join(level(1), F.col("__word") == F.col("__label1"))
+    for k in range(2, depth + 1):
+        walked = walked.join(
+            level(k), (F.col(f"__node{k - 1}") == F.col(f"__from{k}"))
+            & (F.col(f"__next{k}") == F.col(f"__label{k}")), "left")
     is_marker = F.col("__word") == _MARKER
-    counted = (
-        _exploded(passages, carry, text, items).drop("__pos")
-        .join(_with_marker(flags), F.col("__word") == F.col("word"))
-        .groupBy(*carry, "__digest")
-        .agg(F.count(F.when(is_marker, 1)).cast("int").alias("__copies"),
-             *[F.coalesce(F.sum("__" + c), F.lit(0)).alias(c) for c in categories])
-    )
+    hits = {c: sum((F.coalesce(F.col(f"__{k}_{c}"), F.lit(0)) for k in range(1, depth + 1)), F.lit(0))
+            for c in categories}
+    counted = walked.groupBy(*carry, "__digest").agg(
+        F.count(F.when(is_marker, 1)).cast("int").alias("__copies"),
+        *[F.coalesce(F.sum(hit), F.lit(0)).alias(c) for c, hit in hits.items()])
     per_row = counted.withColumns({
         c: F.when(F.col("__digest").isNotNull(), (F.col(c) / F.col("__copies")).cast("int"))
         for c in categories
