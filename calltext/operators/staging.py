@@ -17,6 +17,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate results from whatever store it is in."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the written copy.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,12 @@ from calltext.functions.phonetic import soundex_code, soundex_difference
 from calltext.functions.titles import parse_event_title
 from calltext.operators.incremental import replace_by_key, todo
 from calltext.operators.relational import natural_join, not_in
-from calltext.plans import executives, features, link, quality
+from calltext.operators.staging import remove_folder, shared_folder, stage
+from calltext.plans import executives, features, jobs, link, quality, sentences
 from calltext.plans.competition import competition_table
 from calltext.plans.qa import qa_pairs
+from calltext.sources import keyed
+from calltext.sources.writers import versions
 from checks.views import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -365,6 +369,55 @@ def feature_update(t):
         t["speaker_data"], work, t["lexicon"], previous).select(*FEATURES)
 
 
+def _named(name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+def _dropped(t, table: str, result):
+    """The result, staged, without the tables that were made for it."""
+    staged = stage(result)
+    for name in [*versions(t.spark, table), f"{table}_done", f"{table}_batches"]:
+        t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    t.spark.sql(f"DROP VIEW IF EXISTS {table}")
+    return staged
+
+
+@query
+def upsert_keyed(t):
+    """Merge on read: the calls of one feed, replaced by those of the other, twice, then compacted."""
+    columns = ["file_name", _day("last_update"), "company_name", "company_ticker"]
+    first, second = t["calls"].select(*columns), t["calls_hbs"].select(*columns)
+    table = _named("upsert")
+    keyed.create_keyed_table(first, table, "file_name", buckets=8)
+    keyed.replace_keys(second.filter("company_ticker IS NULL"), second, table)
+    keyed.replace_keys(second, second, table)
+    keyed.compact(t.spark, table)
+    return _dropped(t, table, t.spark.table(table).drop(keyed.BUCKET))
+
+
+@query
+def keyed_batch(t):
+    """The passages of one limited batch of calls, read from the partitions of its files."""
+    work = todo(_wanted(t), t["done_keys"], limit=100)
+    table = _named("passages")
+    keyed.create_keyed_table(t["speaker_data"], table, "file_name", buckets=64)
+    return _dropped(t, table, keyed.rows_of_keys(t.spark, table, work).select(
+        *PASSAGE, "context", "speaker_name", "role", "speaker_text"))
+
+
+@query
+def feature_stream(t):
+    """The feature table as a stream over arriving calls makes it."""
+    folder, table = f"{shared_folder(t.spark)}/{_named('arriving')}", _named("stream")
+    t["calls"].write.parquet(f"{folder}/calls")
+    calls = jobs.read_arriving(t.spark, f"{folder}/calls", t["calls"].schema, files=4)
+    jobs.stream_linguistic_features(
+        calls, t["speaker_data"], t["lexicon"], table, f"{folder}/offsets", buckets=16).awaitTermination()
+    result = _dropped(t, table, t.spark.table(table).select(*FEATURES))
+    remove_folder(t.spark, folder)
+    return result
+
+
 @query
 def tone_counts(t):
     return features.tone_counts(
@@ -437,6 +490,19 @@ def sentence_split(t):
     ).filter(F.col("pos").isNotNull())
 
 
+@query
+def learned_abbreviations(t):
+    """Those with the scores of the shipped limit, and how sure they are to two digits."""
+    return sentences.abbreviations(t["documents_default"], "text").select(
+        "word", "n_with", "n_without", F.round("score", 2).alias("score"))
+
+
+@query
+def sentence_split_learned(t):
+    known = sentences.abbreviations(t["documents_default"], "text")
+    return sentences.split_sentences(t["documents_default"], known, ["doc_id"], "text")
+
+
 @query
 def forward_looking_share(t):
     return t["documents"].select("doc_id", passages.forward_looking_share(
