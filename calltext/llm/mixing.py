@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calltext.llm.common import in_order, marked, parallelism, word_count
+from calltext.llm.common import in_order, parallelism, word_count
 from calltext.operators.staging import stage
 
 WEIGHTS = (1, 2, 3)
@@ -83,11 +83,8 @@ def _time_of(share, schedules):
     return cases
 
 
-def _row_of(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
-    """``docs`` with the key, a hash of text and source, and a number among rows that agree in
-    both, which any two such rows may swap."""
-    return marked(docs, key, text, source).withColumn("__row_nth", F.expr(
-        "row_number() OVER (PARTITION BY __row_key, __row_hash ORDER BY __row_hash)"))
+def _row_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def curriculum(
@@ -106,14 +103,17 @@ def curriculum(
 
     A document without words is taken in each pass that reaches its place. Equal keys share a draw
     and are all placed; null sources are a source of their own; a source without words is left out
-    of the mix; an empty table gives no rows. Other columns are not read.
+    of the mix; an empty table gives no rows. Texts are measured and hashed where they are read, whole
+    ones of any length, and do not travel. ``_hash`` is of all columns, so rows that agree in key and
+    hash are equal and may swap their places. Other columns are hashed and no more.
     """
-    drawn = _row_of(docs.select(key, source, text), key, source, text).select(
-        F.col("__row_key").alias("_key"), F.col("__row_hash").alias("_hash"),
-        F.col("__row_nth").alias("_nth"), F.col(source).alias("_source"),
-        word_count(F.col(text)).alias("size"),
-        F.md5(F.col(key).cast("string").cast("binary")).alias("_draw"))
-    line = ("_source", "_draw", "_key", "_hash", "_nth")
+    # Measured once, as the exchange by range looks at its rows twice.
+    drawn = stage(docs.select(
+        F.col(f"`{key}`").alias("_key"), _row_hash(docs).alias("_hash"),
+        F.col(f"`{source}`").alias("_source"), word_count(F.col(f"`{text}`")).alias("size"),
+        F.md5(F.col(f"`{key}`").cast("string").cast("binary")).alias("_draw"),
+        F.monotonically_increasing_id().alias("_tie")))
+    line = ("_source", "_draw", "_key", "_hash", "_tie")
     slices = stage(
         drawn.repartitionByRange(parallelism(docs), *line).sortWithinPartitions(*line)
         .withColumn("_slice", F.spark_partition_id())
@@ -128,7 +128,7 @@ def curriculum(
         "_before", F.expr("sum(_part) OVER (PARTITION BY _source ORDER BY _slice) - _part"))
     same = running["_source"].eqNullSafe(parts["_source"]) & (running["_slice"] == parts["_slice"])
     lined = running.join(parts, same).select(
-        "_key", "_hash", "_nth", running["_source"], "size",
+        "_key", "_hash", "_draw", running["_source"], "size",
         (F.col("_before") + F.col("_within") - F.col("size") / 2).alias("_middle"))
     sized = lined.join(targets, lined["_source"].eqNullSafe(targets["_source"]))
     left = (F.col("target") - F.col("_middle")) / F.col("source_size")
@@ -140,19 +140,39 @@ def curriculum(
             (F.col("_middle") + i * F.col("source_size")) / F.col("target"), schedules))
         for i in range(int(most))]
     return counted.select(
-        "_key", "_hash", "_nth", "size", "source_size", "target", "passes",
+        "_key", "_hash", "_draw", "size", "source_size", "target", "passes",
         F.slice(F.array(*positions), F.lit(1), F.col("passes")).alias("positions"))
 
 
+def in_place(plan: DataFrame) -> DataFrame:
+    """The rows of ``curriculum`` with ``first_position`` and ``last_position`` and with ``first_rank``,
+    the place among all takings, from 0, at which training meets the document first. Takings are
+    range-sorted by position; documents that are not taken have NULL in all three."""
+    takings = plan.select(
+        "*", F.posexplode_outer("positions").alias("_pass", "_position")
+    ).withColumn("_out", F.col("_position").isNull())
+    ranked = in_order(takings, "_out", "_position", "_draw", "_key", "_hash", "_pass")
+    rank = F.when(~F.col("_out"), F.col("rank"))
+    return ranked.filter("_out OR _pass = 0").select(
+        *plan.columns, F.col("_position").alias("first_position"),
+        F.get("positions", F.size("positions") - 1).alias("last_position"), rank.alias("first_rank"))
+
+
 def in_training_order(
-    docs: DataFrame, plan: DataFrame, source: str = "source", text: str = "text",
-    key: str = "doc_id",
+    docs: DataFrame, plan: DataFrame, key: str = "doc_id",
 ) -> DataFrame:
-    """The rows of ``docs`` that ``plan`` takes, as often as it does, range-sorted by position."""
-    taken = plan.filter("passes > 0").select("_key", "_hash", "_nth", "positions")
-    rows = _row_of(docs, key, source, text).alias("d")
-    same = F.expr("d.__row_key <=> p._key AND d.__row_hash = p._hash AND d.__row_nth = p._nth")
-    found = rows.join(taken.alias("p"), same).select(
-        *(F.col(f"d.`{c}`") for c in docs.columns), F.col("d.__row_hash").alias("__row_hash"),
-        F.explode("p.positions").alias("__row_place"))
-    return found.sort("__row_place", "__row_hash").drop("__row_place", "__row_hash")
+    """The rows of ``docs`` that ``plan``, its ``curriculum``, takes, as often as it does, range-sorted
+    by position. Equal rows are reduced to one in each task first and meet their places in a join,
+    so that many copies of a row are split like any frequent key. Null keys meet null keys; an empty
+    table gives no rows, and columns may have any names but those of this join, which begin with two
+    underscores and ``row``."""
+    taken = plan.filter("passes > 0").select("_key", "_hash", F.explode("positions").alias("_place"))
+    content = docs.select(
+        F.col(f"`{key}`").alias("__row_key"), _row_hash(docs).alias("__row_hash"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))
+    content = stage(content.groupBy("__row_key", "__row_hash").agg(
+        F.any_value("__row").alias("__row"))).alias("d")
+    same = F.expr("d.__row_key <=> p._key AND d.__row_hash = p._hash")
+    found = content.join(taken.alias("p"), same).select(
+        "__row", "__row_hash", F.col("_place").alias("__row_place"))
+    return found.sort("__row_place", "__row_hash").select("__row.*")

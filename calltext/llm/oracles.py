@@ -49,17 +49,39 @@ level AS (
     FROM filled
     WHERE ratio > (total - coalesce(held, 0)) / (weights - coalesce(held_weights, 0))),
 targets AS (
-    SELECT source, source_size, CAST(least(most, weight * level) AS DOUBLE) AS target
+    SELECT source, source_size, weight, CAST(least(most, weight * level) AS DOUBLE) AS target
     FROM filled, level),
 lined AS (
     SELECT *, sum(size) OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id
                               ROWS UNBOUNDED PRECEDING) - size / 2 AS middle
-    FROM sized)
-SELECT doc_id, size, source_size, target,
-       CAST(CASE WHEN source_size = 0 THEN 0
-            ELSE size * least(greatest(ceil((target - middle) / source_size), 0), 3) END AS BIGINT)
-           AS taken
-FROM lined AS l JOIN targets AS t ON l.source IS NOT DISTINCT FROM t.source"""
+    FROM sized),
+planned AS (
+    SELECT doc_id, size, source_size, target, l.source, middle, weight,
+           CAST(CASE WHEN source_size = 0 THEN 0
+                ELSE least(greatest(ceil((target - middle) / source_size), 0), 3) END AS INT) AS passes
+    FROM lined AS l JOIN targets AS t ON l.source IS NOT DISTINCT FROM t.source),
+-- The schedule of a source is that of its weight: even, rising, falling to the middle and then even.
+takings AS (
+    SELECT doc_id, pass, weight, (middle + pass * source_size) / target AS share
+    FROM (SELECT *, unnest(range(passes)) AS pass FROM planned)),
+spent AS (SELECT *, greatest(share * 0.9375::DOUBLE, 0) AS area FROM takings),
+placed AS (
+    SELECT doc_id, pass, CASE
+        WHEN weight = 1 THEN least(2 * share / 2, 1)
+        WHEN weight = 2 THEN least(2 * share / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2 * share)), 1)
+        WHEN area <= 0.5625 THEN
+            least(2 * area / (1.5::DOUBLE + sqrt(greatest(2.25::DOUBLE - 3 * area, 0))), 0.5::DOUBLE)
+        ELSE least(0.5::DOUBLE + 2 * (area - 0.5625::DOUBLE) / 1.5::DOUBLE, 1) END AS position
+    FROM spent),
+ranked AS (
+    SELECT *, row_number() OVER (ORDER BY position, md5(CAST(doc_id AS VARCHAR)), doc_id, pass) - 1 AS rank
+    FROM placed),
+ends AS (
+    SELECT doc_id, round(min(position), 9) AS first_position, round(max(position), 9) AS last_position,
+           min(rank) AS first_rank FROM ranked GROUP BY doc_id)
+SELECT doc_id, size, source_size, target, CAST(size * passes AS BIGINT) AS taken,
+       first_position, last_position, first_rank
+FROM planned LEFT JOIN ends USING (doc_id)"""
 
 
 def _quartiles(name: str, *keys: str) -> str:

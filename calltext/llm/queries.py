@@ -41,11 +41,12 @@ def op4_benchmark_tiling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document with how many of its words the mix takes."""
-    plan = mixing.curriculum(_table(spark, folder, "documents"))
+    """Every document with how many of its words the mix takes and where in training it stands."""
+    plan = mixing.in_place(mixing.curriculum(_table(spark, folder, "documents")))
     return plan.select(
         F.col("_key").alias("doc_id"), "size", "source_size", "target",
-        (F.col("size") * F.col("passes")).alias("taken"))
+        (F.col("size") * F.col("passes")).alias("taken"),
+        *(F.round(c, 9).alias(c) for c in ("first_position", "last_position")), "first_rank")
 
 
 def op6_simhash_planes(spark: SparkSession, folder: str) -> DataFrame:

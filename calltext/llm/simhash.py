@@ -279,15 +279,11 @@ def near_components(
         least.alias("first"))
 
 
-# Near copies on five-word shingles: at a similarity of 0.8 the cosine of two equally large shingle
-# sets is 8/9, and so 0.151 of the bits differ. The radius leaves room for chance above that.
-NEAR_COPIES = {"shingle": 5, "numbers": 16, "radius": 160, "wide": 0.151}
-
-
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the row with the least key stays,
+    """The rows of ``docs`` without near copies, by ``near_components`` with its shingle length and
+    radius unless others are given: of each component the row with the least key stays,
     of several rows with that key the one whose text has the least hash, and of equal ones any."""
-    found = near_components(docs, key=key, text=text, **(options or NEAR_COPIES))
+    found = near_components(docs, key=key, text=text, **options)
     chosen = found.groupBy("component").agg(F.min(F.struct(
         F.col(key).isNull().alias("last"), F.col(key).alias("k"), "hash")).alias("c")).select(
             F.col("c.k").alias("_key"), F.col("c.hash").alias("_hash"))

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from calltext.llm import (
@@ -244,7 +245,33 @@ def test_positions_follow_the_schedules(spark):
     # Falling weight: the first half of training takes (1.5 + 0.75) / 2 / 1.875 of the demand... / 2.
     assert abs(np.mean(np.array(places[2]) < 0.5) - 0.5625 / 0.9375) < 0.02
     order = mixing.in_training_order(df, mixing.curriculum(df))
-    assert order.count() == sum(r["passes"] for r in plan)
+    assert order.columns == df.columns
+    placed = sorted((p, r["_key"]) for r in plan for p in r["positions"])
+    met = [r["doc_id"] for r in order.collect()]
+    assert len(met) == len(placed)
+    # Ties in position may stand either way round.
+    at = {}
+    for i, (p, k) in enumerate(placed):
+        at.setdefault(p, []).append((i, k))
+    for same in at.values():
+        assert sorted(met[i] for i, _ in same) == sorted(k for _, k in same)
+    ranks = {r["_key"]: (r["first_position"], r["first_rank"])
+             for r in mixing.in_place(mixing.curriculum(df)).collect()}
+    for r in plan:
+        first = r["positions"][0] if r["positions"] else None
+        assert ranks[r["_key"]][0] == first
+        if first is not None:
+            assert placed[ranks[r["_key"]][1]][0] == first
+
+
+def test_many_equal_rows_take_their_own_places(spark):
+    rows = [(1, "a b", "s", "x")] * 50 + [(1, "a b", "s", "y")] * 3 + [(None, "c d", None, None)] * 4
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, `a b` string")
+    plan = mixing.curriculum(df)
+    taken = plan.agg(F.sum("passes")).first()[0]
+    order = mixing.in_training_order(df, plan)
+    assert plan.count() == 57 and order.count() == taken
+    assert {r["a b"] for r in order.collect()} <= {"x", "y", None}
 
 
 def least_capacity(sizes, shards):
@@ -335,21 +362,13 @@ def test_near_counts_distances():
         assert {p for p in got if p[1] < 150} == want
 
 
-def test_near_copies_go_and_others_stay(spark):
-    draw = random.Random(9)
-    words = [f"w{i}" for i in range(5000)]
-    rows = []
-    for i in range(40):
-        text = [draw.choice(words) for _ in range(300)]
-        copy, far = list(text), list(text)
-        for p in draw.sample(range(300), 3):
-            copy[p] = "changed"
-        for p in draw.sample(range(300), 60):
-            far[p] = "changed"
-        rows += [(i, " ".join(text)), (100 + i, " ".join(copy)), (200 + i, " ".join(far)), (300 + i, " ".join(text))]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    left = sorted(r["doc_id"] for r in simhash.one_of_each(df).collect())
-    assert left == [*range(40), *range(200, 240)]
+def test_one_of_each_keeps_the_least_of_each_component(spark, docs):
+    table = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    first = {}
+    for r in simhash.near_components(table).collect():
+        first.setdefault(r["component"], []).append(r["doc_id"])
+    left = sorted(r["doc_id"] for r in simhash.one_of_each(table).collect())
+    assert left == sorted(min(ids) for ids in first.values()) and len(left) < len(docs)
 
 
 # -- op7 -------------------------------------------------------------------------------------------

@@ -44,7 +44,7 @@ def operators(docs, bench, labels):
         "substrings": lambda: substrings.without_repeats(docs),
         "mixing": lambda: mixing.curriculum(docs),
         "simhash": lambda: simhash.near_components(docs),
-        "wide": lambda: simhash.near_components(docs, **simhash.NEAR_COPIES),
+        "wide": lambda: simhash.near_components(docs, shingle=5, numbers=16, radius=160, wide=0.151),
         "privacy": lambda: privacy.sensitive_spans(docs),
         "quality": lambda: quality.judged(docs),
         "classifier": lambda: classifier.scored(docs, labels),
