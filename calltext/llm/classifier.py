@@ -1,8 +1,16 @@
-"""Quality classifier by co-training of a text view and a metadata view."""
+"""Quality classifier by co-training of a text view and a metadata view.
+
+Every document is reduced to two short vectors where it is read. Each round scores all of them by both
+views; the documents that one view is surest of, a share of all per class found by distributed
+quantiles, become labels for the other view. A view is fitted to its labels by Newton steps whose
+gradients and curvatures are sums over all documents, taken in the tasks and added up by Spark, so what
+the driver holds is a few thousand numbers at every size. Sums are of whole multiples of a small unit
+and so do not depend on the order in which tasks end.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,22 +19,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from calltext.llm.common import gram_hashes, joined_words, text_batches
+from calltext.operators.staging import stage
 
-# Documents that the fit may use: labelled ones, and unlabelled ones to exchange labels on.
+# Labelled documents that the fit may use. The others take part whole.
 LABELLED = 4000
-POOL = 4000
-ROUNDS = 5
-PER_ROUND = 200  # pseudo-labels that each view gives the other in a round
+ROUNDS = 3
+SHARE = 0.02  # of all documents, what each view labels for the other in a round
 HELD_OUT = 0.25  # share of the labelled ones kept for calibration
 KEEP_FROM = 0.5
 TRIGRAMS = 1024
+PROJECTED = 48  # numbers that the shares of the hashed trigrams are projected to
 NAMES = 64
 DENSE, LAYOUT = 7, 8
+WIDTHS = (PROJECTED + DENSE, NAMES + LAYOUT)
 # How freely the many hashed features may be used beside the few that describe the whole text.
+HASHED = (PROJECTED, NAMES)
 HASHED_EASE = 0.1
+STEPS = 4  # Newton steps of each fit
+PENALTY = 3e-2
+LIMIT = 12.0  # logits beyond it are cut
+BINS = 4096
+UNIT = 2.0 ** -24
 MIX = 0x9E3779B1
 
 
+def _projection() -> np.ndarray:
+    """Signs, drawn once and for all, that keep the distances of trigram shares."""
+    signs = np.random.default_rng(0).integers(0, 2, (TRIGRAMS, PROJECTED)) * 2 - 1
+    return (signs / PROJECTED ** 0.5).astype(np.float32)
+
+
 def _distinct(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """How many different values each owner has."""
     order = np.lexsort((values, owner))
@@ -37,29 +59,30 @@ def _distinct(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 def text_view(texts: list[bytes]) -> np.ndarray:
-    """Shares of hashed byte trigrams; shares of distinct words and word pairs, also against the
+    """Projected roots of the shares of hashed byte trigrams; shares of distinct words and word pairs, also against the
     length; mean word length, symbols, length."""
-    out = np.zeros((len(texts), TRIGRAMS + DENSE), dtype=np.float32)
+    out = np.zeros((len(texts), TRIGRAMS), dtype=np.float32)
     for i, text in enumerate(texts):
         # Sums over pieces, so a very long text needs no more memory than its words.
         for at in range(0, len(text), 1 << 20):
             b = np.frombuffer(text, np.uint8, min(len(text) - at, (1 << 20) + 2), at).astype(np.uint32)
             if len(b) > 2:
                 code = (b[:-2] << 16 | b[1:-1] << 8 | b[2:]) * np.uint32(MIX)
-                out[i, :TRIGRAMS] += np.bincount(code >> np.uint32(22), minlength=TRIGRAMS)
-        out[i, :TRIGRAMS] /= max(len(text) - 2, 1)
+                out[i] += np.bincount(code >> np.uint32(22), minlength=TRIGRAMS)
+        out[i] /= max(len(text) - 2, 1)
     _, starts, ends, hashes, first = joined_words(texts)
     count = np.diff(first)
     owner = np.repeat(np.arange(len(texts)), count)
     some = np.maximum(count, 1)
     distinct = _distinct(owner, hashes, len(texts)) / some
-    pairs = _distinct(owner[1:], gram_hashes(hashes, 2), len(texts)) / some
+    inside = owner[1:] == owner[:-1]  # no pair reaches over from the text before
+    pairs = _distinct(owner[1:][inside], gram_hashes(hashes, 2)[inside], len(texts)) / some
     symbols = [sum(t.count(c) for c in b"#*$%&|<>") / max(len(t), 1) for t in texts]
-    out[:, TRIGRAMS:] = np.column_stack((
+    dense = np.column_stack((
         distinct, distinct * np.log1p(count) / 5, pairs, pairs < 0.5,
         np.bincount(owner, weights=ends - starts, minlength=len(texts)) / some / 10,
         np.minimum(symbols, 0.1) * 10, np.log1p(count) / 10))
-    return out
+    return np.concatenate((np.sqrt(out) @ _projection(), dense), axis=1).astype(np.float32)
 
 
 def metadata_view(lang: list, source: list, texts: list[bytes]) -> np.ndarray:
@@ -84,32 +107,53 @@ def metadata_view(lang: list, source: list, texts: list[bytes]) -> np.ndarray:
 
 @dataclass
 class Linear:
-    """Logistic regression over standardised features."""
+    """Logistic regression over standardised features; the last weight is the offset."""
 
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
-    bias: float
-
-    @staticmethod
-    def fit(x: np.ndarray, y: np.ndarray, steps: int = 150, penalty: float = 3e-2) -> Linear:
-        mean, scale = x.mean(axis=0), 1 / (x.std(axis=0) + 1e-3)
-        scale[:TRIGRAMS if x.shape[1] > TRIGRAMS else NAMES] *= HASHED_EASE
-        z = ((x - mean) * scale).astype(np.float32)
-        # Both classes weigh the same, so that the rare one is learnt.
-        importance = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-        weights, bias = np.zeros(x.shape[1], dtype=np.float32), 0.0
-        ahead, step = weights.copy(), 4.0 / (1 + (importance @ (z * z).sum(axis=1)))
-        for i in range(steps):
-            error = (importance * (1 / (1 + np.exp(-np.clip(z @ ahead + bias, -30, 30))) - y)).astype(
-                np.float32)
-            moved = ahead - step * (z.T @ error + penalty * ahead)
-            ahead = moved + i / (i + 3) * (moved - weights)
-            weights, bias = moved, bias - error.sum()
-        return Linear(mean, scale, weights, float(bias))
+
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        z = (x.astype(np.float64) - self.mean) * self.scale
+        return np.concatenate((z, np.ones((len(z), 1))), axis=1)
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(((x - self.mean) * self.scale) @ self.weights + self.bias, -12, 12)
+        return np.clip(self.standard(x) @ self.weights, -LIMIT, LIMIT)
+
+
+def class_sums(model: Linear, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For rows labelled 1 and rows labelled 0, others having -1: how many, and the sums of gradient and
+    curvature of their loss. What a step needs of any number of rows."""
+    out = []
+    z = model.standard(x)
+    p = 1 / (1 + np.exp(-np.clip(z @ model.weights, -LIMIT, LIMIT)))
+    for value in (1, 0):
+        mine = y == value
+        part, chance = z[mine], p[mine]
+        curved = part.T @ (part * (chance * (1 - chance))[:, None])
+        out += [[mine.sum()], part.T @ (chance - value), curved[np.triu_indices(len(curved))]]
+    return np.concatenate(out)
+
+
+def stepped(model: Linear, groups: list[np.ndarray]) -> Linear:
+    """A Newton step on the ``class_sums`` of some groups of rows. Groups weigh the same, and within
+    each both classes do, so that neither many pseudo-labels nor a frequent class drown the others."""
+    n = len(model.weights)
+    m = n * (n + 1) // 2
+    gradient, curvature = np.zeros(n), np.zeros((n, n))
+    groups = [g for g in groups if g[0] and g[1 + n + m]]
+    for sums in groups:
+        for part in (sums[:1 + n + m], sums[1 + n + m:]):
+            weight = 0.5 / part[0] / len(groups)
+            upper = np.zeros((n, n))
+            upper[np.triu_indices(n)] = part[1 + n:]
+            gradient += weight * part[1:1 + n]
+            curvature += weight * (upper + np.triu(upper, 1).T)
+    penalty = np.full(n, PENALTY)
+    penalty[-1] = 1e-6
+    move = np.linalg.solve(curvature + np.diag(penalty), gradient + penalty * model.weights)
+    size = np.abs(move).max()
+    return Linear(model.mean, model.scale, model.weights - move * min(1, 3 / max(size, 1e-12)))
 
 
 def _calibrated(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -141,36 +185,88 @@ class CoTrained:
         return tuple(1 / (1 + np.exp(-z)) for z in (*parts, both))
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray]) -> CoTrained | None:
-    """Fit both views on labelled rows, let each label the pool rows it is surest of for the other,
-    round after round, then calibrate on held-out rows. The calibrated logits are added in
-    proportion to how much better than chance each view is there. None without two classes."""
+# A round: the two views as they were, and the logits below and above which each gives labels.
+Round = tuple[tuple[Linear, Linear], tuple[tuple[float, float], tuple[float, float]]]
+
+
+def given_labels(rounds: list[Round], views: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """The label that each view has been given by the other in the rounds so far, the first one
+    holding; -1 where it has none."""
+    labels = [np.full(len(x), -1, dtype=np.int8) for x in views]
+    for models, limits in rounds:
+        for own, (model, (low, high)) in enumerate(zip(models, limits)):
+            z, taker = model.logit(views[own]), labels[1 - own]
+            free = taker < 0
+            taker[free & (z >= high)] = 1
+            taker[free & (z <= low)] = 0
+    return labels
+
+
+def confidence_bins(rounds: list[Round], models: tuple[Linear, Linear],
+                    views: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For each view the numbers of documents by logit, of those that it has not labelled yet."""
+    labels = given_labels(rounds, views)
+    out = []
+    for own, model in enumerate(models):
+        z = model.logit(views[own][labels[1 - own] < 0])
+        out.append(np.bincount(((z + LIMIT) * (BINS / (2 * LIMIT))).astype(int).clip(0, BINS - 1),
+                               minlength=BINS))
+    return np.concatenate(out)
+
+
+def limits_of(bins: np.ndarray, wanted: float, prior: float) -> tuple[float, float]:
+    """The logits that part off ``wanted`` documents, ``prior`` of them above. Documents of one bin go
+    together: the last one that is begun is taken whole. No label goes against its own logit."""
+    width = 2 * LIMIT / BINS
+    above = np.cumsum(bins[::-1]) - bins[::-1]
+    below = np.cumsum(bins) - bins
+    highest = (above < wanted * prior).sum()
+    lowest = (below < wanted * (1 - prior)).sum()
+    high = LIMIT - highest * width if highest else np.inf
+    low = -LIMIT + lowest * width if lowest else -np.inf
+    return min(low, -width), max(high, width)
+
+
+def co_train(views: list[np.ndarray], y: np.ndarray, total: Callable[[Callable], np.ndarray]
+             ) -> CoTrained | None:
+    """Fit both views on labelled rows and, over rounds, on the labels that each gets from the other,
+    then calibrate on held-out labelled rows. ``total(f)`` is the sum of ``f(views)`` over all
+    documents. The calibrated logits are added in proportion to how much better than chance each view
+    is on the held-out rows. None without two classes."""
     held = np.arange(len(y)) % round(1 / HELD_OUT) == 0
     if len(np.unique(y[~held])) < 2 or len(np.unique(y[held])) < 2:
         return None
-    train = [[v[~held]] for v in views]
-    labels = [[y[~held]] for _ in views]
-    free = np.ones(len(pool[0]), dtype=bool)
-    share = y.mean()
-    models = []
-    for turn in range(ROUNDS + 1):
-        models = [Linear.fit(np.concatenate(t), np.concatenate(z)) for t, z in zip(train, labels)]
-        if turn == ROUNDS:
-            break
-        for own, other in ((0, 1), (1, 0)):
-            left = np.flatnonzero(free)
-            n = min(PER_ROUND, len(left))
-            if not n:
-                continue
-            order = left[np.argsort(models[own].logit(pool[own][left]), kind="stable")]
-            high = round(n * share)
-            for rows, value in ((order[len(order) - high:], 1.0), (order[:n - high], 0.0)):
-                train[other].append(pool[other][rows])
-                labels[other].append(np.full(len(rows), value))
-                free[rows] = False
+    moments = total(lambda v: np.concatenate(
+        [np.array([len(v[0])]), *(m for x in v for m in (
+            x.sum(axis=0, dtype=np.float64), (x.astype(np.float64) ** 2).sum(axis=0)))]))
+    documents, at, models = moments[0], 1, []
+    for width, hashed in zip(WIDTHS, HASHED):
+        mean = moments[at:at + width] / documents
+        square = moments[at + width:at + 2 * width] / documents
+        scale = 1 / (np.sqrt(np.maximum(square - mean * mean, 0)) + 1e-3)
+        scale[:hashed] *= HASHED_EASE
+        models.append(Linear(mean, scale, np.zeros(width + 1)))
+        at += 2 * width
+    known = [v[~held] for v in views]
+    truth, prior = y[~held], y.mean()
+    for _ in range(2 * STEPS):
+        models = [stepped(m, [class_sums(m, x, truth)]) for m, x in zip(models, known)]
+    rounds: list[Round] = []
+    for _ in range(ROUNDS):
+        now = tuple(models)
+        bins = total(lambda v, now=now: confidence_bins(rounds, now, v))
+        rounds.append((now, tuple(limits_of(b, SHARE * documents, prior)
+                                  for b in (bins[:BINS], bins[BINS:]))))
+        for _ in range(STEPS):
+            now = tuple(models)
+            sums = total(lambda v, now=now: np.concatenate([
+                class_sums(m, x, z) for m, x, z in zip(now, v, given_labels(rounds, v))]))
+            cut = len(class_sums(now[0], known[0][:0], truth[:0]))
+            models = [stepped(m, [class_sums(m, x, truth), part])
+                      for m, x, part in zip(now, known, (sums[:cut], sums[cut:]))]
     logits = [m.logit(v[held]) for m, v in zip(models, views)]
     scales = [_calibrated(z, y[held]) for z in logits]
-    chance = -(share * np.log(share) + (1 - share) * np.log(1 - share))
+    chance = -(prior * np.log(prior) + (1 - prior) * np.log(1 - prior))
     gain = []
     for z, (s, o) in zip(logits, scales):
         p = np.clip(1 / (1 + np.exp(-(s * z + o))), 1e-6, 1 - 1e-6)
@@ -179,42 +275,53 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray]) ->
     return CoTrained(tuple(models), tuple(scales), tuple(g / max(gain) for g in gain))
 
 
-def _one_per_key(rows: DataFrame, *extra: str) -> DataFrame:
-    """The row of each key with the least hash; each task reduces its own rows first."""
-    values = ("text", "lang", "source", *extra)
-    return rows.groupBy("key").agg(F.min(F.struct(
-        F.xxhash64(*values).alias("hash"), *values)).alias("r")).select(
-            "key", *(f"r.{c}" for c in values))
+def _reduced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both views of each row as bytes, in place of its text."""
+    for part, texts in text_batches(batches, "text"):
+        a = text_view(texts)
+        b = metadata_view(part.column("lang").to_pylist(), part.column("source").to_pylist(), texts)
+        rest = [c for c in part.schema.names if c not in ("text", "lang", "source")]
+        yield pa.RecordBatch.from_arrays(
+            [*(part.column(c) for c in rest), pa.array([x.tobytes() for x in a], pa.binary()),
+             pa.array([x.tobytes() for x in b], pa.binary())], [*rest, "a", "b"])
 
 
-def _sampled(rows: DataFrame, extra: list[str]) -> tuple[list[np.ndarray], list]:
-    """Both views of a bounded number of rows, on the driver."""
+def _views(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b"".join(part.column(c).to_pylist()), np.float32).reshape(-1, width)
+                 for c, width in zip("ab", WIDTHS))
 
-    def run(batches):
-        for part, texts in text_batches(batches, "text"):
-            a = text_view(texts)
-            b = metadata_view(part.column("lang").to_pylist(), part.column("source").to_pylist(), texts)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("key"), *(part.column(c) for c in extra),
-                 pa.array([x.tobytes() for x in a]), pa.array([x.tobytes() for x in b])],
-                ["key", *extra, "a", "b"])
 
-    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("key", *extra))
-    found = rows.mapInArrow(run, f"{kinds}, a binary, b binary").collect()
-    found.sort(key=lambda r: str(r["key"]))
-    views = [np.array([np.frombuffer(r[c], np.float32) for r in found]).reshape(len(found), width)
-             for c, width in (("a", TRIGRAMS + DENSE), ("b", NAMES + LAYOUT))]
-    return views, [[r[c] for r in found] for c in extra]
+def _total(reduced: DataFrame) -> Callable[[Callable], np.ndarray]:
+    """Sums of a function of the views over all rows: each task adds up its own, Spark adds up those
+    of the tasks, place by place."""
+    def total(of: Callable) -> np.ndarray:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = 0
+            for part in batches:
+                if part.num_rows:
+                    sums = sums + np.rint(of(_views(part)) / UNIT)
+            if np.ndim(sums):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(sums)), pa.int64()), pa.array(sums, pa.float64())],
+                    ["place", "units"])
+
+        found = reduced.mapInArrow(run, "place long, units double").groupBy("place").agg(
+            F.sum(F.col("units").cast("decimal(38,0)")).cast("double").alias("units")).collect()
+        out = np.zeros(len(found))
+        for place, units in found:
+            out[place] = units * UNIT
+        return out
+
+    return total
 
 
 def _scoring(model: CoTrained | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_batches(batches, "text"):
-            if model is None:
-                scores = [np.full(len(texts), 1.0)] * 3
+        for part in batches:
+            if model is None or not part.num_rows:
+                scores = [np.full(part.num_rows, 1.0)] * 3
             else:
-                scores = model.scores(text_view(texts), metadata_view(
-                    part.column("lang").to_pylist(), part.column("source").to_pylist(), texts))
+                scores = model.scores(*_views(part))
             yield pa.RecordBatch.from_arrays(
                 [part.column("key"), *(pa.array(s.astype(np.float64)) for s in scores)],
                 ["key", "text_score", "metadata_score", "score"])
@@ -230,28 +337,30 @@ def scored(
     probability of ``label`` by each view and by both, and whether the last is at least
     ``KEEP_FROM``.
 
-    The fit uses at most ``LABELLED`` labelled and ``POOL`` unlabelled documents, those with the
-    least hash of their key, the same ones in each run; of rows with one key, one takes part. All documents are scored where they are read.
+    The fit uses at most ``LABELLED`` labelled documents, those with the least hash of their key, the
+    same ones in each run; of rows with one key, one takes part. The labels that the views exchange
+    go to all documents, labelled or not, as labels of ``labels`` are not looked at there.
 
-    Null texts, languages and sources are values like any other, an empty text has no features;
-    rows with a null label or key do not take part in the fit. Without labels of both kinds there is
-    nothing to learn, and every row gets score 1. Repeated rows get equal scores; an empty table
-    gives no rows. Other columns are not read.
+    Null texts, languages and sources are values like any other, an empty text has no features; a text
+    of any length is read whole, in pieces. Rows with a null label or key do not take part as labelled
+    ones. Without labels of both kinds there is nothing to learn, and every row gets score 1. Repeated
+    rows get equal scores; an empty table gives no rows. Other columns are not read.
     """
-    rows = docs.select(
-        F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"),
-        F.col(source).alias("source"))
+    rows = docs.select(*(F.col(f"`{c}`").alias(name) for c, name in (
+        (key, "key"), (text, "text"), (lang, "lang"), (source, "source"))))
+    kind = docs.schema[key].dataType.simpleString()
+    reduced = stage(rows.mapInArrow(_reduced, f"key {kind}, a binary, b binary"))
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("double").alias("y")).filter(
         "key IS NOT NULL AND y IS NOT NULL").groupBy("key").agg(F.max("y").alias("y"))
-    draw = F.xxhash64("key")
-    picked = known.orderBy(draw, "key").limit(LABELLED)
-    others = rows.select("key").filter("key IS NOT NULL").distinct().join(
-        known, "key", "left_anti").orderBy(draw, "key").limit(POOL)
-    # Both sides are bounded by the limits above, as each key is reduced to one row.
-    views, (y,) = _sampled(_one_per_key(rows.join(F.broadcast(picked), "key"), "y"), ["y"])
-    pool, _ = _sampled(_one_per_key(rows.join(F.broadcast(others), "key")), [])
-    model = co_train(views, (np.array(y) > 0).astype(float), pool) if len(y) else None
-    kind = docs.schema[key].dataType.simpleString()
-    return rows.mapInArrow(
+    picked = known.orderBy(F.xxhash64("key"), "key").limit(LABELLED)
+    # Bounded by the limit above, as each key is reduced to one row.
+    found = reduced.join(F.broadcast(picked), "key").groupBy("key").agg(
+        F.min(F.struct("a", "b", "y")).alias("r")).select("key", "r.*").collect()
+    found.sort(key=lambda r: (str(r["key"])))
+    views = [np.frombuffer(b"".join(r[c] for r in found), np.float32).reshape(-1, width)
+             for c, width in zip("ab", WIDTHS)]
+    y = np.array([float(r["y"] > 0) for r in found])
+    model = co_train(views, y, _total(reduced)) if len(y) else None
+    return reduced.mapInArrow(
         _scoring(model), f"key {kind}, text_score double, metadata_score double, score double"
     ).withColumn("kept", F.col("score") >= KEEP_FROM).withColumnRenamed("key", key)

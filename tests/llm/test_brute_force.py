@@ -457,10 +457,95 @@ def test_one_row_of_a_key_takes_part(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
     seen = []
-    monkeypatch.setattr(classifier, "co_train", lambda views, y, pool: seen.append(
-        (len(views[0]), len(y), len(pool[0]))))
+    monkeypatch.setattr(classifier, "co_train", lambda views, y, total: seen.append(
+        (len(views[0]), len(y), total(lambda v: np.array([len(v[0])])).tolist())))
     assert classifier.scored(df, labels).count() == 440
-    assert seen == [(10, 10, 50)]
+    assert seen == [(10, 10, [440.0])]
+
+
+def _views_of(rows):
+    texts = [(r["text"] or "").encode() for r in rows]
+    return (classifier.text_view(texts), classifier.metadata_view(
+        [r["lang"] for r in rows], [r["source"] for r in rows], texts))
+
+
+def test_sums_over_tasks_give_the_model_of_one_array(spark):
+    """All sums in one array on one machine, and class by class with plain loops, give the same scores."""
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").collect()
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    views = _views_of(rows)
+    mine = sorted((i for i, r in enumerate(rows) if r["doc_id"] in labels),
+                  key=lambda i: str(rows[i]["doc_id"]))
+    y = np.array([float(labels[rows[i]["doc_id"]]) for i in mine])
+    model = classifier.co_train([v[mine] for v in views], y, lambda f: f(views))
+    wanted = model.scores(*views)
+    got = {r["doc_id"]: (r["text_score"], r["metadata_score"], r["score"]) for r in classifier.scored(
+        spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(5),
+        spark.read.parquet(f"{FOLDER}/labels.parquet")).collect()}
+    assert len(got) == len(rows)
+    for i, r in enumerate(rows):
+        assert np.allclose(got[r["doc_id"]], [w[i] for w in wanted], atol=1e-5)
+
+
+def test_step_beside_plain_sums():
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(60, 3)), rng.integers(-1, 2, 60)
+    model = classifier.Linear(np.zeros(3), np.ones(3), rng.normal(size=4) / 3)
+    g, h = np.zeros(4), np.zeros((4, 4))
+    for value in (0, 1):
+        some = [np.append(row, 1) for row, label in zip(x, y) if label == value]
+        for z in some:
+            p = 1 / (1 + np.exp(-z @ model.weights))
+            g += 0.5 / len(some) * (p - value) * z
+            h += 0.5 / len(some) * p * (1 - p) * np.outer(z, z)
+    penalty = np.array([classifier.PENALTY] * 3 + [1e-6])
+    wanted = model.weights - np.linalg.solve(h + np.diag(penalty), g + penalty * model.weights)
+    got = classifier.stepped(model, [classifier.class_sums(model, x, y)])
+    assert np.allclose(got.weights, wanted)
+
+
+def test_limits_part_off_shares():
+    bins = np.zeros(classifier.BINS)
+    bins[[10, 100, 4000, 4050]] = 5, 50, 20, 3
+    low, high = classifier.limits_of(bins, 20, 0.5)
+    width = 2 * classifier.LIMIT / classifier.BINS
+    # Ten are wanted on each side; the bin that is begun is taken whole.
+    assert abs(high - (-classifier.LIMIT + 4000 * width)) < 1e-9
+    assert abs(low - (-classifier.LIMIT + 101 * width)) < 1e-9
+    low, high = classifier.limits_of(np.zeros(classifier.BINS), 20, 0.5)
+    assert low < 0 < high
+
+
+def test_a_source_without_labels_gets_labels_from_the_other_view(spark):
+    rng = random.Random(11)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    rows = []
+    for i in range(600):
+        good = i // 3 % 2 == 0
+        text = " ".join(rng.choice(words) for _ in range(60)) + "." if good else "buy now " * 40
+        rows.append((i, text, "en", "seen" if i < 200 else "unseen"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    given, inner = [], classifier.given_labels
+
+    def noted(rounds, views):
+        out = inner(rounds, views)
+        given.append((len(rounds), [z.copy() for z in out]))
+        return out
+
+    everything = _views_of(df.orderBy("doc_id").collect())
+    chosen = list(range(80))
+    y = np.array([float(i // 3 % 2 == 0) for i in chosen])
+    classifier.given_labels = noted
+    try:
+        classifier.co_train([v[chosen] for v in everything], y, lambda f: f(everything))
+    finally:
+        classifier.given_labels = inner
+    last = max(given, key=lambda g: g[0])[1]
+    for labels_of_view in last:
+        outside = labels_of_view[200:]
+        assert (outside == 1).sum() > 0 and (outside == 0).sum() > 0
+        right = [z == (i // 3 % 2 == 0) for i, z in zip(range(200, 600), outside) if z >= 0]
+        assert sum(right) / len(right) > 0.95
 
 
 def test_held_out_quality(spark):
