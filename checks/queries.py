@@ -17,7 +17,7 @@ from calltext.operators.staging import remove_folder, shared_folder, stage
 from calltext.plans import executives, features, jobs, link, quality, sentences
 from calltext.plans.competition import competition_table
 from calltext.plans.qa import qa_pairs
-from calltext.sources import keyed
+from calltext.sources import keyed, transcripts
 from calltext.sources.writers import versions
 from checks.views import Tables
 
@@ -395,6 +395,14 @@ def upsert_keyed(t):
     return _dropped(t, table, t.spark.table(table).drop(keyed.BUCKET))
 
 
+@query
+def transcript_xml(t):
+    """Passages written as one XML document a call and read back from it."""
+    columns = [*PASSAGE, _day("last_update"), "context", "speaker_name", "role", "speaker_text"]
+    parsed = transcripts.parse_transcripts(transcripts.to_transcripts(t["speaker_data"]))
+    return transcripts.accepted(parsed).select(*columns)
+
+
 @query
 def keyed_batch(t):
     """The passages of one limited batch of calls, read from the partitions of its files."""
