@@ -1,4 +1,11 @@
-"""Line dedup by content-defined chunks of lines."""
+"""Line dedup by content-defined chunks of lines.
+
+A line's hash decides whether a chunk ends with it, so a passage is cut alike wherever it stands and
+however many lines were put in before it. Chunks that repeat are found by digest; each is then grown
+over the lines before and after it as long as they equal those around its first copy, so that what is
+removed does not depend on where the cuts fell. Runs of several lines whose bytes equal those of the
+first copy go.
+"""
 
 from __future__ import annotations
 
@@ -7,118 +14,145 @@ from pyspark.sql import functions as F
 
 from calltext.operators.staging import stage
 
-# A chunk ends after a line where the hash of the last ROLL lines leaves no remainder by DIVISOR,
-# so chunks have about DIVISOR lines, and one that repeats begins and ends alike wherever it stands.
-ROLL = 2
-DIVISOR = 3
+# A chunk ends with a line unless the hash of its last ROLL lines leaves no remainder by DIVISOR: short
+# chunks, as a chunk must lie within a repeated run to find it. LAWS ways of cutting, each with hashes
+# of its own, find runs that another one cuts badly.
+ROLL = 1
+DIVISOR = 4
+LAWS = 2
 LEAST_LINES = 2
 SPLIT = "\n"
 LAST_ID = 2**63 - 1
 
 
-def _with_chunks(rows: DataFrame, roll: int, divisor: int, least: int) -> DataFrame:
-    """``(_key, _hash, from, to, digest, again)``: the chunks of at least ``least`` lines.
-
-    The first chunk of a text begins with it, the last one ends with it. ``again`` tells that the
-    same digest stood earlier in the text.
-    """
-    hashed = rows.select("_key", "_hash", F.transform(
-        F.split("_text", SPLIT, -1), lambda line: F.xxhash64(line)).alias("_h"))
+def _with_chunks(hashed: DataFrame, roll: int, divisor: int, laws: int) -> DataFrame:
+    """``(_key, _hash, from, digest, own)`` for the chunks of ``hashed (_key, _hash, _h)``: where each
+    begins and where the same chunk began first in its text."""
     n = F.size("_h")
-    ends = F.filter(
-        F.when(n > roll, F.sequence(F.lit(roll), n - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.pmod(F.xxhash64(*(F.get("_h", i - 1 - j) for j in range(roll))),
-                         F.lit(divisor)) == 0)
-    cut = hashed.withColumn("_ends", F.concat(ends, F.array(n)))
-    bounds = cut.withColumn("_c", F.filter(F.transform("_ends", lambda end, i: F.struct(
-        F.when(i == 0, F.lit(0)).otherwise(F.get("_ends", i - 1)).alias("from"), end.alias("to"))),
-        lambda c: c["to"] - c["from"] >= least))
-    digests = bounds.withColumn("_d", F.transform("_c", lambda c: F.aggregate(
-        F.slice("_h", c["from"] + 1, c["to"] - c["from"]), F.lit(0).cast("long"),
+
+    def ends(law: int) -> Column:
+        def cut(i: Column) -> Column:
+            rolled = F.xxhash64(F.lit(law), *(F.get("_h", i - j) for j in range(roll)))
+            return (F.pmod(rolled, F.lit(divisor)) != 0) | (i == n - 1)
+
+        return F.filter(F.sequence(F.lit(0), n - 1), cut)
+
+    def chunks(law: int) -> Column:
+        e = F.col(f"_e{law}")
+        return F.transform(e, lambda end, i: F.struct(
+            F.when(i == 0, F.lit(0)).otherwise(F.get(e, i - 1) + 1).alias("from"), end.alias("last")))
+
+    cut = hashed.filter(n > 0).withColumns({f"_e{law}": ends(law) for law in range(laws)}).withColumn(
+        "_c", F.flatten(F.array(*(chunks(law) for law in range(laws)))))
+    digests = cut.withColumn("_d", F.transform("_c", lambda c: F.aggregate(
+        F.slice("_h", c["from"] + 1, c["last"] - c["from"] + 1), F.lit(0).cast("long"),
         lambda a, h: F.xxhash64(a, h))))
-    chunks = F.transform("_c", lambda c, i: F.struct(
-        c["from"].alias("from"), c["to"].alias("to"), F.get("_d", i).alias("digest"),
-        (F.array_position("_d", F.get("_d", i)) <= i).alias("again")))
-    return digests.select("_key", "_hash", F.explode(chunks).alias("c")).select("_key", "_hash", "c.*")
-
-
-def _with_windows(rows: DataFrame, least: int) -> DataFrame:
-    """The same for all windows of ``least`` lines, wherever they begin. ``again`` tells that the
-    same digest stood earlier in the text in lines that are none of this window's. Windows are
-    sorted by digest, so a frequent one costs no more than others; of ``least`` places before one
-    in that order, the last does not overlap it."""
-    hashed = rows.select("_key", "_hash", F.transform(
-        F.split("_text", SPLIT, -1), lambda line: F.xxhash64(line)).alias("_h"))
-    windows = hashed.filter(F.size("_h") >= least).withColumn("_s", F.array_sort(F.transform(
-        F.sequence(F.lit(0), F.size("_h") - least), lambda i: F.struct(
-            F.xxhash64(*(F.get("_h", i + j) for j in range(least))).alias("digest"),
-            i.alias("from")))))
-
-    def again(s: Column, i: Column) -> Column:
-        found = F.lit(False)
-        for k in range(1, least + 1):
-            other = F.get("_s", i - k)
-            found = found | F.coalesce((other["digest"] == s["digest"]) & (
-                other["from"] <= s["from"] - least), F.lit(False))
-        return found
-
-    placed = F.transform("_s", lambda s, i: F.struct(
-        s["from"].alias("from"), (s["from"] + least).alias("to"), s["digest"].alias("digest"),
-        again(s, i).alias("again")))
-    return windows.select("_key", "_hash", F.explode(placed).alias("c")).select("_key", "_hash", "c.*")
+    exploded = digests.select("_key", "_hash", F.explode(F.arrays_zip(
+        F.col("_c.from").alias("from"), F.col("_d").alias("digest"))).alias("c"))
+    return exploded.groupBy("_key", "_hash", "c.digest").agg(
+        F.array_sort(F.collect_set("c.from")).alias("_all")).select(
+            "_key", "_hash", "digest", F.explode("_all").alias("from"), F.get("_all", F.lit(0)).alias("own"))
+
+
+def _grown(pairs: DataFrame, hashed: DataFrame, least: int) -> DataFrame:
+    """``(_key, _hash, from, to, f_key, f_hash, f_from)``: for ``pairs (_key, _hash, f_key, f_hash,
+    shift, starts)``, chunks that begin ``shift`` lines further on in a first copy, the runs of
+    ``least`` or more equal lines around them. A run is not compared with lines of its own."""
+    first = hashed.select(F.col("_key").alias("f_key"), F.col("_hash").alias("f_hash"),
+                          F.col("_h").alias("_f"))
+    both = pairs.join(hashed, ["_key", "_hash"]).join(first, ["f_key", "f_hash"])
+    n, shift = F.size("_h"), F.col("shift")
+    differ = F.filter(F.sequence(F.lit(-1), n), lambda i: F.coalesce(
+        F.get("_h", i) != F.get("_f", i + shift), F.lit(True)))
+    same = (F.col("_key") == F.col("f_key")) & (F.col("_hash") == F.col("f_hash"))
+
+    def run(at: Column) -> Column:
+        low = F.array_max(F.filter("_x", lambda i: i < at)) + 1
+        high = F.array_min(F.filter("_x", lambda i: i > at))
+        over = same & (high - low > -shift)
+        return F.struct(F.when(over, at).otherwise(low).alias("from"),
+                        F.when(over, F.least(high, at - shift)).otherwise(high).alias("to"))
+
+    # A place before the first line, and the one after the last, differ from all.
+    grown = both.withColumn("_x", differ).select(
+        "_key", "_hash", "f_key", "f_hash", "shift",
+        F.explode(F.array_distinct(F.transform(F.filter(
+            "starts", lambda at: ~F.array_contains("_x", at)), run))).alias("r"))
+    return grown.select(
+        "_key", "_hash", "r.from", "r.to", "f_key", "f_hash", (F.col("r.from") + shift).alias("f_from")
+    ).filter(F.col("to") - F.col("from") >= least).distinct()
+
+
+def _texts_of(spans: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(_key, _hash, from, to, bytes)`` of the lines of distinct ``spans``; texts are dealt out once."""
+    places = spans.groupBy("_key", "_hash").agg(F.collect_set(F.struct("from", "to")).alias("_places"))
+    # Texts are split once: a column that is read twice is not put in where it is used.
+    parted = rows.dropDuplicates(["_key", "_hash"]).join(places, ["_key", "_hash"]).withColumn(
+        "_lines", F.split("_text", SPLIT, -1))
+    return parted.select("_key", "_hash", F.explode(F.transform("_places", lambda c: F.struct(
+        c["from"].alias("from"), c["to"].alias("to"), F.array_join(F.slice(
+            "_lines", c["from"] + 1, c["to"] - c["from"]), SPLIT).alias("bytes")))).alias("c")).select(
+                "_key", "_hash", "c.*")
 
 
 def _union(spans: Column) -> Column:
-    """Sorted (from, to) without overlap: of each, what lies behind the ends of those before it.
-    Spans of equal length are sorted by both ends, so the one before has the last end."""
-    return F.filter(F.transform(spans, lambda s, i: F.struct(
-        F.greatest(s["from"], F.coalesce(F.get(spans, i - 1)["to"], F.lit(0))).alias("from"),
-        s["to"].alias("to"))), lambda s: s["from"] < s["to"])
+    """Sorted (from, to) without overlap: of each, what lies behind the ends of those before it."""
+    ends = F.transform(spans, lambda s, i: F.struct(
+        s["from"].alias("from"), s["to"].alias("to"),
+        F.coalesce(F.array_max(F.transform(F.slice(spans, F.lit(1), i), lambda p: p["to"])),
+                   F.lit(0)).alias("before")))
+    return F.filter(F.transform(ends, lambda s: F.struct(
+        F.greatest(s["from"], s["before"]).alias("from"), s["to"].alias("to"))),
+        lambda s: s["from"] < s["to"])
 
 
 def without_repeated_chunks(
     docs: DataFrame, key: str = "doc_id", text: str = "text", roll: int = ROLL,
-    divisor: int = DIVISOR, least: int = LEAST_LINES, windows: bool = False,
+    divisor: int = DIVISOR, laws: int = LAWS, least: int = LEAST_LINES,
 ) -> DataFrame:
-    """``(key, n_lines, n_removed, kept)`` for every row of ``docs``: its text without the chunks of
-    ``least`` or more lines that stand earlier in it or in a row with a smaller key.
+    """``(key, n_lines, n_removed, kept)`` for every row of ``docs``: its text without the runs of
+    ``least`` or more lines around a chunk that stands earlier in it or in a row with a smaller key.
 
-    With ``windows`` every run of ``least`` lines is a chunk, and chunks overlap, so all lines of a
-    repeated passage of that length go, wherever it begins; without, the content-defined chunks.
-
-    Chunks travel as a digest of their line hashes and their place. Of digests that occur more than
-    once, the bytes follow, and a chunk goes only if its bytes equal those of the copy with the
-    least key. The texts are dealt out once, by row; frequent chunks are summed by each task first,
-    and the joins by digest are of the kind whose skewed partitions adaptive execution splits.
+    Chunks travel as a digest of their line hashes and their place. Of those that repeat, each meets
+    the line hashes of its own text and of its first copy, and grows over equal neighbours; then the
+    bytes of grown runs and of their first copies are compared. Frequent chunks are summed by each task
+    first, and what many rows are joined with is staged, so that adaptive execution can split them.
 
     Keys are whole numbers; a null key comes after all others. Rows with one key do not remove each
     other's chunks. A null text has no lines and stays null, an empty one has one empty line; an
-    empty table gives no rows.
+    empty table gives no rows. A text is held whole by a task, with its line hashes and chunks.
     """
     rows = docs.select(
-        F.coalesce(F.col(key), F.lit(LAST_ID)).cast("long").alias("_key"),
-        F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
+        F.coalesce(F.col(f"`{key}`"), F.lit(LAST_ID)).cast("long").alias("_key"),
+        F.xxhash64(f"`{text}`").alias("_hash"), F.col(f"`{text}`").alias("_text"))
     with_text = rows.filter("_text IS NOT NULL")
-    chunks = stage(_with_windows(with_text, least) if windows else _with_chunks(
-        with_text, roll, divisor, least))
-    # Staged, so that the join meets it in an exchange of its own: only then can adaptive execution
-    # split the places of a frequent chunk.
-    repeated = stage(chunks.groupBy("digest").agg(
-        F.min("_key").alias("_least"), F.max("_key").alias("_most"), F.max("again").alias("_again")
-    ).filter("_least < _most OR _again").select("digest", "_least"))
-    places = chunks.join(repeated, "digest").groupBy("_key", "_hash").agg(F.collect_set(F.struct(
-        "from", "to", "digest", ((F.col("_key") == F.col("_least")) & ~F.col("again")).alias("first")
-    )).alias("_places"))
-    # Texts are split once: a column that is read twice is not put in where it is used.
-    parted = rows.join(places, ["_key", "_hash"]).withColumn("_lines", F.split("_text", SPLIT, -1))
-    content = parted.select("_key", "_hash", F.explode(F.transform("_places", lambda c: F.struct(
-        c["from"].alias("from"), c["to"].alias("to"),
-        c["digest"].alias("digest"), c["first"].alias("first"),
-        F.when(F.size("_lines") >= c["to"], F.array_join(F.slice(
-            "_lines", c["from"] + 1, c["to"] - c["from"]), SPLIT)).alias("bytes")))).alias("c")).select(
-                "_key", "_hash", "c.*")
-    firsts = content.filter("first").select("digest", "bytes").distinct()
-    copies = content.filter("NOT first").join(firsts, ["digest", "bytes"], "left_semi")
+    hashed = stage(with_text.select("_key", "_hash", F.transform(
+        F.split("_text", SPLIT, -1), lambda line: F.xxhash64(line)).alias("_h")).dropDuplicates(
+            ["_key", "_hash"]))
+    chunks = stage(_with_chunks(hashed, roll, divisor, laws))
+    firsts = stage(chunks.groupBy("digest").agg(
+        F.min(F.struct("_key", "_hash", "own")).alias("first"), F.max("_key").alias("most")
+    ).filter("first._key < most").select(
+        "digest", F.col("first._key").alias("f_key"), F.col("first._hash").alias("f_hash"),
+        F.col("first.own").alias("f_from")))
+    earlier = chunks.join(firsts, "digest").filter("f_key < _key").select(
+        "_key", "_hash", "f_key", "f_hash", (F.col("f_from") - F.col("from")).alias("shift"), "from")
+    within = chunks.filter("own < from").select(
+        "_key", "_hash", F.col("_key").alias("f_key"), F.col("_hash").alias("f_hash"),
+        (F.col("own") - F.col("from")).alias("shift"), "from")
+    pairs = earlier.unionByName(within).groupBy("_key", "_hash", "f_key", "f_hash", "shift").agg(
+        F.collect_set("from").alias("starts"))
+    runs = stage(_grown(pairs, hashed, least))
+    sources = runs.select(F.col("f_key").alias("_key"), F.col("f_hash").alias("_hash"),
+                          F.col("f_from").alias("from"),
+                          (F.col("f_from") + F.col("to") - F.col("from")).alias("to"))
+    content = stage(_texts_of(runs.select("_key", "_hash", "from", "to").unionByName(sources), with_text))
+    held = content.select(F.col("_key").alias("f_key"), F.col("_hash").alias("f_hash"),
+                          F.col("from").alias("f_from"), F.col("to").alias("f_to"),
+                          F.col("bytes").alias("f_bytes"))
+    copies = runs.withColumn("f_to", F.col("f_from") + F.col("to") - F.col("from")).join(
+        content, ["_key", "_hash", "from", "to"]).join(
+        held, ["f_key", "f_hash", "f_from", "f_to"]).filter("bytes = f_bytes")
     removed = copies.groupBy("_key", "_hash").agg(
         F.array_sort(F.collect_set(F.struct("from", "to"))).alias("_spans")).select(
             "_key", "_hash", _union(F.col("_spans")).alias("_removed"))
