@@ -316,7 +316,7 @@ def repeated_spans(texts: DataFrame, size: int = WINDOW) -> DataFrame:
         return found
     windows = stage(texts.mapInArrow(
         _hot_windows(size, hot.view(np.uint64)), "digest binary, doc long, sum long, from long"))
-    first = windows.groupBy("digest").agg(F.min("doc").alias("first"))
+    first = stage(windows.groupBy("digest").agg(F.min("doc").alias("first")))
     late = windows.join(first, "digest").filter("doc > first").select(
         "doc", "sum", "from", (F.col("from") + size).alias("to"))
     return found.unionByName(late)
