@@ -17,7 +17,7 @@ RULES = (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
     ("allow", "com/fr/"), ("block", "com/de/"),
 )
-LONGEST_WORD = 20
+LONGEST_WORD = 40
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -56,10 +56,11 @@ def _tokens(host: Column, path: Column) -> Column:
 
 
 def word_counts(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``(word, n)``: how often each word of a-z stands in the pages outside tags."""
+    """``(word, n)``: how often each word of letters, of any script, stands in the pages outside tags.
+    Words of more than ``LONGEST_WORD`` letters are no parts of names."""
     plain = F.lower(F.regexp_replace(F.col(html), r"<[^<>]*>", " "))
     return pages.select(F.explode(F.split(plain, r"\P{L}+")).alias("word")).filter(
-        F.col("word").rlike(f"^[a-z]{{1,{LONGEST_WORD}}}$")).groupBy("word").agg(
+        F.col("word").rlike(rf"^\p{{L}}{{1,{LONGEST_WORD}}}$")).groupBy("word").agg(
             F.count("*").alias("n"))
 
 
