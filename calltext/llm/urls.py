@@ -46,7 +46,7 @@ def ruled(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
 def _tokens(host: Column, path: Column) -> Column:
     """(side, token) for each run of letters or digits; digits count by how many they are."""
     def side(name: str, text: Column) -> Column:
-        runs = F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(r"[0-9]+|[^\W_0-9]+"), F.lit(0))
+        runs = F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(r"[0-9]+|\p{L}+"), F.lit(0))
         return F.transform(runs, lambda t: F.struct(
             F.lit(name).alias("side"),
             F.when(t.rlike("^[0-9]"), F.concat(F.lit("#"), F.length(t).cast("string"))).otherwise(t)

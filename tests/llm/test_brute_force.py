@@ -1,7 +1,9 @@
 """The operators against plain Python over the smallest tables, and on planted cases."""
 
+import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import struct
@@ -18,6 +20,7 @@ from calltext.llm import (
 )
 
 FOLDER = "/root/testdata/sf0.001"
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 @pytest.fixture(scope="module")
@@ -87,6 +90,63 @@ def test_bayes_learns_words_of_hosts(spark):
     assert (got[100], got[101]) == ("block", "allow")
 
 
+def plain_scores(pages):
+    """Rules, words, splits and naive Bayes over a whole table, one page after another."""
+    counts = collections.Counter(
+        w for _, _, html in pages for w in re.split(
+            r"[^\w]|[\d_]", re.sub("<[^<>]*>", " ", html or "").lower())
+        if w and w.isalpha() and len(w) <= urls.LONGEST_WORD)
+    total, split = sum(counts.values()), {}
+
+    def parts(side, text):
+        for run in re.findall(r"[0-9]+|[^\W\d_]+", text.translate(LOW)):
+            if run[0].isdigit():
+                yield f"{side}:#{len(run)}"
+                continue
+            if run not in split:
+                known = {(i, n): counts[run[i:i + n]] for i in range(len(run))
+                         for n in range(1, len(run) - i + 1) if run[i:i + n] in counts}
+                split[run] = urls.segment(run, known, total)
+            yield from (f"{side}:{w}" for w in split[run])
+
+    judged, seen = {}, {"allow": collections.Counter(), "block": collections.Counter()}
+    totals = collections.Counter()
+    for page, url, _ in pages:
+        found = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (found[1].translate(LOW), found[2]) if found else ("", "")
+        fit = [(len(r), r, v) for v, r in urls.RULES if
+               (host == r.split("/", 1)[0] or host.endswith("." + r.split("/", 1)[0]))
+               and path.startswith("/" + r.split("/", 1)[1])]
+        words = [*parts("host", host), *parts("path", path)]
+        judged[page] = (host, path, *(max(fit)[1:] if fit else (None, None)), words)
+        if fit:
+            totals[max(fit)[2]] += 1
+            seen[max(fit)[2]].update(words)
+    names = {w for c in seen.values() for w in c}
+    size, many = len(names), {v: sum(c.values()) for v, c in seen.items()}
+    out = {}
+    for page, (host, path, rule, verdict, words) in judged.items():
+        score = math.log((totals["block"] + 1) / (totals["allow"] + 1)) + sum(
+            math.log((seen["block"][w] + 1) / (many["block"] + size + 1))
+            - math.log((seen["allow"][w] + 1) / (many["allow"] + size + 1)) for w in words)
+        out[page] = (host, path, rule, verdict or ("block" if round(score, 9) > 0 else "allow"),
+                     None if rule else round(score, 6))
+    return out
+
+
+def test_urls_of_a_whole_table(spark):
+    table = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    pages = [(r["page_id"], r["url"], r["html"]) for r in table.collect()]
+    pages += [(-1, "http://straßenbahn-über.example.net/größe/ñandú", "<p>straßenbahn über größe ñandú</p>")]
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"],
+                          r["block_score"] if r["block_score"] is None else round(r["block_score"], 6))
+           for r in urls.judged(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    want = plain_scores(pages)
+    assert {k: v[:4] for k, v in got.items()} == {k: v[:4] for k, v in want.items()}
+    for page, row in want.items():
+        assert row[4] is None and got[page][4] is None or abs(row[4] - got[page][4]) < 1e-5
+
+
 # -- op2 and op3 -----------------------------------------------------------------------------------
 def signed(n):
     return n - 2**64 if n >= 2**63 else n
