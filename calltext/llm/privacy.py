@@ -21,10 +21,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 
-# A term is a run of at least three letters outside the emails. Its places in a text are those behind
-# a character that is no letter; it is counted wherever it stands.
-TERM_PATTERN = r"(?<=\P{L})\p{L}{3,}+"
-TERM_COUNTED = r"(?<!\p{L})\p{L}{3,}+"
+# A term is a run of at least three letters outside the emails.
+TERM_PATTERN = r"(?<!\p{L})\p{L}{3,}+"
 # A term discloses an entity when their pointwise mutual information reaches this share of the
 # entity's information content, and both stand together in this many different texts.
 DISCLOSURE = 0.8
@@ -131,7 +129,7 @@ def _entities(spans: Column) -> Column:
 
 def _terms(masked: Column) -> Column:
     return F.array_distinct(F.transform(
-        F.regexp_extract_all(masked, F.lit(TERM_COUNTED), F.lit(0)), F.lower))
+        F.regexp_extract_all(masked, F.lit(TERM_PATTERN), F.lit(0)), F.lower))
 
 
 def _with_held(texts: DataFrame) -> DataFrame:
@@ -157,7 +155,8 @@ def disclosures(held: DataFrame, texts: DataFrame) -> DataFrame:
     """``(entity, term, share)``: terms whose co-occurrence with an entity over the corpus reveals it.
 
     ``held`` has each different text that holds entities once, with its number ``n`` of rows;
-    ``texts`` has all rows. Both stand together where a text holds both, however far apart. With
+    ``texts`` has all rows. Empty tables give no rows, and so do texts without terms; a text is split
+    whole, in memory that follows it, whatever its length. Both stand together where a text holds both, however far apart. With
     counts of rows, PMI = log(n(t,e) N / (n(t) n(e))) and the information content of e is
     log(N / n(e)); their ratio is 1 for a term that occurs nowhere but in texts of e. Copies of one
     text count once for the support. Pairs are summed by each task first.
@@ -206,7 +205,8 @@ def sensitive_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     (start, kind, end, value, share), kind numbers being those of ``KINDS`` and then the term.
 
     A null text is empty and has no span. Equal rows get equal spans; spans of different kinds may
-    overlap; an empty table gives no rows. A term is marked wherever it stands in a text of its
+    overlap; an empty table gives no rows. A text of any length is read whole, in memory that follows
+    it. A term is marked wherever it stands in a text of its
     entity, with its largest share there. Only texts with base spans travel, each different one once.
     """
     texts = docs.select(
@@ -243,7 +243,8 @@ def sanitised(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str
               ) -> DataFrame:
     """``docs`` with its spans acted on: entities give way to their kind in angle brackets, terms
     that disclose one fully (share 1) are removed, other terms are generalised to ``<term>``. A
-    span that begins inside an earlier one goes with it."""
+    span that begins inside an earlier one goes with it. A null text stays null; repeated rows are
+    treated alike; an empty table gives no rows, and the columns stay as they were."""
     once = spans.dropDuplicates(["_key", "_hash"]).select(
         "_key", "_hash", F.col("spans").alias("__row_spans"))
     names = F.array(*(F.lit(f"<{k}>") for k in (*KINDS, TERM)))

@@ -165,6 +165,7 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
               source: str = "source") -> DataFrame:
-    """The rows of ``docs`` that ``judged`` keeps, unchanged."""
+    """The rows of ``docs`` that ``judged`` keeps, unchanged: null and empty texts fail the base rules,
+    repeated rows stay or go together, an empty table stays empty, columns of any names are carried."""
     good = judged(docs, key, text, lang, source).filter("kept")
     return unmarked(rows_of(docs, good, key, text, lang, source))

@@ -110,6 +110,13 @@ def test_stages_keep_the_columns(spark, docs, tmp_path, bench, number):
         assert found.count() > 0
 
 
+def test_sharding_as_a_stage(spark, docs, tmp_path):
+    stage = corpus_pipeline.STAGES[4][1]
+    found = stage(spark, docs, str(tmp_path)).collect()
+    assert len(found) == len(ROWS) and {r["shard"] for r in found} <= set(range(8))
+    assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
 def test_texts_without_words(docs):
     found = {r["doc_id"]: r for r in simhash.near_components(docs).collect()}
     assert found[4]["print"] == "0" * 16 and found[4]["first"] == 3 and found[5]["first"] == 3
