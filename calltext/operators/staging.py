@@ -11,9 +11,12 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate results: the one the cluster names in ``spark.checkpoint.dir``,
-    or one in the warehouse, which executors share as well."""
+    """The folder for intermediate results: the one the cluster names in ``spark.checkpoint.dir``. On
+    one machine, where it may be unset, one in the warehouse; a cluster without it is refused, as its
+    executors would not find each other's files."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging"
 
 

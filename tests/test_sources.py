@@ -7,7 +7,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from calltext import schemas
-from calltext.operators.staging import broadcast_if_small, stage
+from calltext.operators.staging import broadcast_if_small, shared_folder, stage
 from calltext.plans.features import lexicon_table
 from calltext.sources import keyed, readers, writers
 from tests.conftest import rows
@@ -84,6 +84,20 @@ def test_stage_writes_to_the_named_folder(spark):
     assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
 
 
+def test_a_cluster_must_name_its_folder():
+    from types import SimpleNamespace
+
+    def session(master, folder):
+        known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "w"}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, *default: known[name]),
+                               sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("yarn", "hdfs://f")) == shared_folder(session("local[2]", "hdfs://f")) == "hdfs://f"
+    assert shared_folder(session("local[2]", None)) == "w/_staging"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn", None))
+
+
 @pytest.mark.parametrize("limit, expected", [(10_000, True), (10, False)])
 def test_broadcast_only_within_the_limit(spark, limit, expected):
     df = broadcast_if_small(spark.range(50).select(F.col("id").cast("string").alias("word")), limit)
