@@ -26,8 +26,8 @@ LAST_ID = 2**63 - 1
 
 
 def _with_chunks(hashed: DataFrame, roll: int, divisor: int, laws: int) -> DataFrame:
-    """``(_key, _hash, from, digest, own)`` for the chunks of ``hashed (_key, _hash, _h)``: where each
-    begins and where the same chunk began first in its text."""
+    """``(_key, _hash, from, digest, before)`` for the chunks of ``hashed (_key, _hash, _h)``: where each
+    begins and where the same chunk began the time before in its text, NULL at the first."""
     n = F.size("_h")
 
     def ends(law: int) -> Column:
@@ -51,13 +51,16 @@ def _with_chunks(hashed: DataFrame, roll: int, divisor: int, laws: int) -> DataF
         F.col("_c.from").alias("from"), F.col("_d").alias("digest"))).alias("c"))
     return exploded.groupBy("_key", "_hash", "c.digest").agg(
         F.array_sort(F.collect_set("c.from")).alias("_all")).select(
-            "_key", "_hash", "digest", F.explode("_all").alias("from"), F.get("_all", F.lit(0)).alias("own"))
+            "_key", "_hash", "digest", F.explode(F.transform("_all", lambda at, i: F.struct(
+                at.alias("from"), F.get("_all", i - 1).alias("before")))).alias("c")).select(
+                    "_key", "_hash", "digest", "c.*")
 
 
 def _grown(pairs: DataFrame, hashed: DataFrame, least: int) -> DataFrame:
     """``(_key, _hash, from, to, f_key, f_hash, f_from)``: for ``pairs (_key, _hash, f_key, f_hash,
-    shift, starts)``, chunks that begin ``shift`` lines further on in a first copy, the runs of
-    ``least`` or more equal lines around them. A run is not compared with lines of its own."""
+    shift, starts)``, chunks that begin ``shift`` lines further on in another copy, the runs of
+    ``least`` or more equal lines around them. A run that goes on into its own copy is a text that
+    repeats itself; it stays once, with ``least`` lines at least."""
     first = hashed.select(F.col("_key").alias("f_key"), F.col("_hash").alias("f_hash"),
                           F.col("_h").alias("_f"))
     both = pairs.join(hashed, ["_key", "_hash"]).join(first, ["f_key", "f_hash"])
@@ -66,20 +69,22 @@ def _grown(pairs: DataFrame, hashed: DataFrame, least: int) -> DataFrame:
         F.get("_h", i) != F.get("_f", i + shift), F.lit(True)))
     same = (F.col("_key") == F.col("f_key")) & (F.col("_hash") == F.col("f_hash"))
 
+    # In a text that repeats itself every so many lines, what is compared is a whole number of those
+    # repeats back, enough for ``least`` lines.
+    back = F.when(same, F.ceil(F.lit(least) / -shift).cast("int") * -shift).otherwise(-shift)
+
     def run(at: Column) -> Column:
         low = F.array_max(F.filter("_x", lambda i: i < at)) + 1
         high = F.array_min(F.filter("_x", lambda i: i > at))
-        over = same & (high - low > -shift)
-        return F.struct(F.when(over, at).otherwise(low).alias("from"),
-                        F.when(over, F.least(high, at - shift)).otherwise(high).alias("to"))
+        return F.struct(F.when(same, low + shift + back).otherwise(low).alias("from"), high.alias("to"))
 
     # A place before the first line, and the one after the last, differ from all.
     grown = both.withColumn("_x", differ).select(
-        "_key", "_hash", "f_key", "f_hash", "shift",
+        "_key", "_hash", "f_key", "f_hash", back.alias("back"),
         F.explode(F.array_distinct(F.transform(F.filter(
             "starts", lambda at: ~F.array_contains("_x", at)), run))).alias("r"))
     return grown.select(
-        "_key", "_hash", "r.from", "r.to", "f_key", "f_hash", (F.col("r.from") + shift).alias("f_from")
+        "_key", "_hash", "r.from", "r.to", "f_key", "f_hash", (F.col("r.from") - F.col("back")).alias("f_from")
     ).filter(F.col("to") - F.col("from") >= least).distinct()
 
 
@@ -130,16 +135,19 @@ def without_repeated_chunks(
         F.split("_text", SPLIT, -1), lambda line: F.xxhash64(line)).alias("_h")).dropDuplicates(
             ["_key", "_hash"]))
     chunks = stage(_with_chunks(hashed, roll, divisor, laws))
-    firsts = stage(chunks.groupBy("digest").agg(
-        F.min(F.struct("_key", "_hash", "own")).alias("first"), F.max("_key").alias("most")
+    # Within a text a copy is compared with the one before it, and only the first one with other texts:
+    # so a line that fills a text gives a few distances, not one for each of its places.
+    own = chunks.filter("before IS NULL")
+    firsts = stage(own.groupBy("digest").agg(
+        F.min(F.struct("_key", "_hash", "from")).alias("first"), F.max("_key").alias("most")
     ).filter("first._key < most").select(
         "digest", F.col("first._key").alias("f_key"), F.col("first._hash").alias("f_hash"),
-        F.col("first.own").alias("f_from")))
-    earlier = chunks.join(firsts, "digest").filter("f_key < _key").select(
+        F.col("first.from").alias("f_from")))
+    earlier = own.join(firsts, "digest").filter("f_key < _key").select(
         "_key", "_hash", "f_key", "f_hash", (F.col("f_from") - F.col("from")).alias("shift"), "from")
-    within = chunks.filter("own < from").select(
+    within = chunks.filter("before IS NOT NULL").select(
         "_key", "_hash", F.col("_key").alias("f_key"), F.col("_hash").alias("f_hash"),
-        (F.col("own") - F.col("from")).alias("shift"), "from")
+        (F.col("before") - F.col("from")).alias("shift"), "from")
     pairs = earlier.unionByName(within).groupBy("_key", "_hash", "f_key", "f_hash", "shift").agg(
         F.collect_set("from").alias("starts"))
     runs = stage(_grown(pairs, hashed, least))

@@ -166,29 +166,29 @@ def cuts_of(parts, law):
 def grown_runs(rows):
     """Lines to remove of each document: chunks, their first copies, and equal lines around both."""
     parts = {d: t.split("\n") for d, t in rows}
-    first, own = {}, {}
+    first = {}
     chunks = {d: sorted({c for law in range(2) for c in cuts_of(p, law)}) for d, p in parts.items()}
     for d in sorted(parts):
         for start, end in chunks[d]:
-            name = tuple(parts[d][start:end])
-            first.setdefault(name, (d, start))
-            own.setdefault((d, name), start)
+            first.setdefault(tuple(parts[d][start:end]), (d, start))
     gone = {d: set() for d in parts}
     for d, p in parts.items():
+        before = {}
         for start, end in chunks[d]:
             name = tuple(p[start:end])
-            for other, at in {first[name], (d, own[d, name])}:
-                if (other, at) == (d, start) or other == d and at > start:
-                    continue
-                q, shift, low, high = parts[other], at - start, start, start
-                while low > 0 and low - 1 + shift >= 0 and p[low - 1] == q[low - 1 + shift]:
-                    low -= 1
-                while high < len(p) and high + shift < len(q) and p[high] == q[high + shift]:
-                    high += 1
-                if other == d and high - low > -shift:
-                    low, high = start, min(high, start - shift)
-                if high - low >= 2:
-                    gone[d] |= set(range(low, high))
+            other, at = (d, before[name]) if name in before else first[name]
+            before[name] = start
+            if (other, at) == (d, start):
+                continue
+            q, shift, low, high = parts[other], at - start, start, start
+            while low > 0 and low - 1 + shift >= 0 and p[low - 1] == q[low - 1 + shift]:
+                low -= 1
+            while high < len(p) and high + shift < len(q) and p[high] == q[high + shift]:
+                high += 1
+            if other == d and shift == -1:
+                low += 1  # one line again and again stays twice
+            if high - low >= 2:
+                gone[d] |= set(range(low, high))
     return {d: (len(gone[d]), "\n".join(x for i, x in enumerate(p) if i not in gone[d]))
             for d, p in parts.items()}
 
@@ -230,6 +230,13 @@ def test_cuts_do_not_shift(spark):
     assert got[3][0] == 39 and got[None] == (40, "")
 
 
+def test_a_text_of_one_line(spark):
+    df = spark.createDataFrame([(1, "same\n" * 5000 + "end"), (2, "a\nb\n" * 900), (3, "same\nsame\nend")],
+                               "doc_id long, text string")
+    got = by_id(lines.without_repeated_chunks(df), "n_removed", "kept")
+    assert got == {1: (4998, "same\nsame\nend"), 2: (1798, "a\nb\n"), 3: (3, "")}
+
+
 def test_many_copies_of_one_line(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(
         F.lit("same\n"), F.col("id"), F.lit("\nsame\n\nother "), F.col("id") % 3).alias("text"))
