@@ -56,32 +56,64 @@ def executive_speakers(speaker_data: DataFrame, overrides: DataFrame) -> DataFra
     return not_in(speakers, overrides.select(*SPEAKER), SPEAKER)
 
 
-def executives_on_calls(
-    executives: DataFrame, matched_calls: DataFrame, last_names: DataFrame
-) -> DataFrame:
-    """Executives of the firms on each call whose last name is asked for there, with upper-case
-    name parts. Each executive of a firm counts in the latest firm-year that fits the call.
+def staff_classes(executives: DataFrame) -> DataFrame:
+    """Executives of one firm-year with one name, as a row: ``staff_id, equilar_id, fy_end, last_name,
+    first_name`` (upper case), ``later, rivals, people, n``. It is staged, which fixes the ids.
 
-    ``last_names`` holds ``file_name, last_name``. The name is a hash key of the first join, so the
-    full staff of a firm is never listed for each of its calls.
+    An executive of a firm counts in the latest firm-year that fits a call: ``later`` are the years
+    in which the firm has the executive again, under whatever name. One who is with several firms in
+    a year counts for the first of those on a call; ``rivals`` are the firms before this one.
     """
-    ids = ["file_name", "equilar_id", "equilar_executive_id"]
-    firms = matched_calls.select("file_name", "equilar_id", "fy_end").distinct()
+    ids = ["equilar_id", "equilar_executive_id"]
+    known = executives.dropna(subset=[*ids, "fy_end"])
     name = parse_name("executive")
-    named = executives.withColumns({
-        "first_name": F.upper(name["first_name"]), "last_name": F.upper(name["last_name"])})
-    asked = stage(
-        last_names.select("file_name", "last_name").distinct().join(firms, "file_name")
-        .join(named, ["equilar_id", "fy_end", "last_name"])
-        .select(*ids, "fy_end", "executive", "first_name", "last_name"))
-    # An executive may have had another name in a later year, so years are compared by id.
-    latest = (
-        asked.select(*ids).distinct().join(firms, ["file_name", "equilar_id"])
-        .join(executives.select("equilar_id", "fy_end", "equilar_executive_id").distinct(),
-              ["equilar_id", "fy_end", "equilar_executive_id"])
-        .groupBy(*ids).agg(F.max("fy_end").alias("fy_end"))
-    )
-    return asked.join(latest, [*ids, "fy_end"])
+    years = known.groupBy(*ids).agg(F.collect_set("fy_end").alias("__years"))
+    named = known.join(years, ids).withColumns({
+        "first_name": F.upper(name["first_name"]), "last_name": F.upper(name["last_name"]),
+        "later": F.array_sort(F.filter("__years", lambda year: year > F.col("fy_end"))),
+    }).filter(F.col("last_name").isNotNull())
+    person = ["equilar_executive_id", "executive", "fy_end"]
+    firms = named.groupBy(*person).agg(
+        F.collect_set(F.struct("equilar_id", "later")).alias("__firms"))
+    rivals = F.filter("__firms", lambda firm: firm["equilar_id"] < F.col("equilar_id"))
+    classes = named.join(firms, person).withColumn("rivals", F.array_sort(rivals)).groupBy(
+        "equilar_id", "fy_end", "last_name", "first_name", "later", "rivals").agg(
+            F.collect_list(F.struct("executive", "equilar_executive_id")).alias("people"))
+    return stage(classes.withColumns({
+        "n": F.size("people"), "staff_id": F.monotonically_increasing_id()}))
+
+
+def staff_on_calls(speakers: DataFrame, matched_calls: DataFrame, staff: DataFrame) -> DataFrame:
+    """Which classes of ``staff`` each speaker is: ``file_name, speaker_name, fy_end, staff_id, n,
+    match_type``. Those of the full name, or else of the last name, in any firm of the call.
+
+    ``speakers`` holds ``file_name, speaker_name, first_name, last_name, fy_end``. The last name is a
+    hash key of the join, so the full staff of a firm is never listed for each of its calls.
+    """
+    years = matched_calls.groupBy("file_name", "equilar_id").agg(
+        F.collect_set("fy_end").alias("years"))
+    on_call = years.groupBy("file_name").agg(
+        F.collect_list(F.struct("equilar_id", "years")).alias("firms"))
+    asked = speakers.join(on_call, "file_name").select(
+        *SPEAKER, "fy_end", "last_name", F.col("first_name").alias("__first"), "firms",
+        F.explode("firms").alias("__firm")).select(
+            "*", F.col("__firm.equilar_id").alias("equilar_id"),
+            F.col("__firm.years").alias("years")).filter(F.array_contains("years", F.col("fy_end")))
+
+    def counted(firm: Column) -> Column:
+        return F.exists("firms", lambda f: (f["equilar_id"] == firm["equilar_id"])
+                        & F.array_contains(f["years"], F.col("fy_end"))
+                        & ~F.arrays_overlap(f["years"], firm["later"]))
+
+    found = asked.join(staff.drop("people").hint("merge"), ["equilar_id", "fy_end", "last_name"]).filter(
+        ~F.arrays_overlap("years", "later") & ~F.exists("rivals", counted)).select(
+            *SPEAKER, "fy_end", "staff_id", "n",
+            F.coalesce(F.col("first_name") == F.col("__first"), F.lit(False)).alias("__full"))
+    found = stage(found)
+    best = found.groupBy(*SPEAKER, "fy_end").agg(F.max("__full").alias("__full"))
+    return found.join(best, [*SPEAKER, "fy_end", "__full"]).select(
+        *SPEAKER, "fy_end", "staff_id", "n",
+        F.when(F.col("__full"), "full name").otherwise("last name").alias("match_type"))
 
 
 def link_executives(
@@ -91,6 +123,7 @@ def link_executives(
     """Every executive speaker with manual, full-name, last-name or no match.
 
     ``ambiguous`` marks speakers with more than one row; every version of a call repeats its rows.
+    Speakers travel with classes of executives, which the last join lists.
     """
     speaker = parse_name("speaker_name")
     speakers = stage(
@@ -102,51 +135,39 @@ def link_executives(
         calls_in_firm_years(with_speakers, link, firm_year_ids(firm_years, stocknames)))
     columns = ["equilar_executive_id", "equilar_id", "executive", "fy_end"]
     everyone = executives.select(*columns).unionByName(executives_nd.select(*columns)).distinct()
-    candidates = stage(executives_on_calls(everyone, matched_calls, speakers))
-    names = candidates.select(
-        "file_name", "fy_end", "executive", "equilar_executive_id",
-        F.col("first_name").alias("__first"), F.col("last_name").alias("__last"))
-    speakers = speakers.join(matched_calls, "file_name")
-    same_last = F.col("__last") == F.col("last_name")
-    same_name = same_last & (F.col("__first") == F.col("first_name"))
-
-    def with_names(rows: DataFrame, condition: Column) -> DataFrame:
-        others = names.withColumnsRenamed({"file_name": "__file", "fy_end": "__fy"})
-        on = (F.col("file_name") == F.col("__file")) & (F.col("fy_end") == F.col("__fy"))
-        return rows.join(others, on & condition, "left").drop("__file", "__fy", "__first", "__last")
-
-    # The source keeps a speaker's rows apart by role and employer until the final union.
-    full = stage(with_names(speakers, same_name))
-    last = stage(with_names(
-        full.filter(F.col("executive").isNull()).drop("executive", "equilar_executive_id"),
-        same_last))
-
-    found = F.col("executive").isNotNull()
-    matched = full.filter(found).select(*SPEAKER).unionByName(last.filter(found).select(*SPEAKER))
-    unmatched = not_in(last.select(*SPEAKER, "equilar_id", "fy_end"), matched, SPEAKER)
+    staff = staff_classes(everyone)
+    names = ["first_name", "last_name"]
+    rows = stage(speakers.select(*SPEAKER, *names).join(matched_calls, "file_name").select(
+        *SPEAKER, *names, "equilar_id", "fy_end").distinct())
+    found = stage(staff_on_calls(
+        rows.drop("equilar_id").distinct(), matched_calls, staff))
+
+    unmatched = rows.select(*SPEAKER, "equilar_id", "fy_end").join(
+        found.select(*SPEAKER).distinct(), SPEAKER, "left_anti")
     latest = unmatched.groupBy(*SPEAKER).agg(F.max("fy_end").alias("fy_end"))
 
-    def labelled(df: DataFrame, label: str) -> DataFrame:
-        return df.withColumn("match_type", F.lit(label)).select(*MATCH_COLUMNS)
-
     manual = overrides.select(
         *SPEAKER, "executive", F.col("equilar_id").cast("int").alias("equilar_id"),
         F.lit(None).cast("date").alias("fy_end"),
-        F.col("equilar_executive_id").cast("int").alias("equilar_executive_id"))
-    none = unmatched.drop("fy_end").join(latest, SPEAKER).withColumns({
-        "executive": F.lit(None).cast("string"),
-        "equilar_executive_id": F.lit(None).cast("int")})
-    matches = stage(reduce(DataFrame.unionByName, [
-        labelled(manual, "manual"),
-        labelled(full.filter(found), "full name"),
-        labelled(last.filter(found), "last name"),
-        labelled(none, "no match"),
-    ]).distinct())
-    return (
-        matches.join(ambiguous_speakers_of(matches), SPEAKER)
-        .join(calls.select("file_name", "event_type"), "file_name")
-        .select(*MATCH_COLUMNS, "ambiguous", "event_type")
-    )
+        F.col("equilar_executive_id").cast("int").alias("equilar_executive_id"),
+        F.lit("manual").alias("match_type")).distinct()
+    none = unmatched.drop("fy_end").distinct().join(latest, SPEAKER).withColumn(
+        "match_type", F.lit("no match"))
+    matched = rows.select(*SPEAKER, "equilar_id", "fy_end").join(found, [*SPEAKER, "fy_end"])
+    one = F.lit(1).alias("n")
+    matches = stage(
+        manual.select("*", one)
+        .unionByName(none.select("*", one), allowMissingColumns=True)
+        .unionByName(matched, allowMissingColumns=True))
+    ambiguous = matches.groupBy(*SPEAKER).agg((F.sum("n") > 1).alias("ambiguous"))
+    known = matches.join(ambiguous, SPEAKER).join(
+        calls.select("file_name", "event_type"), "file_name")
+    result = [*MATCH_COLUMNS, "ambiguous", "event_type"]
+    listed = known.drop("executive", "equilar_executive_id").join(
+        staff.select("staff_id", "people").hint("merge"), "staff_id").withColumn(
+            "__person", F.explode("people")).select("*", "__person.*")
+    return known.filter(F.col("staff_id").isNull()).select(*result).unionByName(
+        listed.select(*result))
 
 
 def ambiguous_speakers_of(matches: DataFrame) -> DataFrame:

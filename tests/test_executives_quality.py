@@ -167,3 +167,39 @@ def test_prefix_only_names(spark):
         [(None, "Mr"), (None, "Mr"), (None, "Dr."), (None, "Mira")], "prefix string, first_name string")
     got = [tuple(r) for r in quality.prefix_only_names(names).collect()]
     assert got == [(None, "Mr", 2), (None, "Dr.", 1)]
+
+
+def test_executives_are_listed_after_the_last_exchange(linked):
+    plan = linked._jdf.queryExecution().executedPlan().toString()
+    before, listed, _ = plan.partition("Generate explode(people")
+    above = before.rsplit("ExistingRDD", 1)[-1]  # what stands over it in its own branch of the union
+    assert listed and "Exchange" not in above and "Aggregate" not in above
+
+
+def test_one_person_in_several_firms_and_years(spark):
+    """Counted once for each firm-year of the speaker, in the latest year of each firm, whichever firm
+    of the call the person is with."""
+    calls = spark.createDataFrame([call("f", V1)], CALLS)
+    link = spark.createDataFrame([("f", 1), ("f", 2)], "file_name string, permno int")
+    firm_years = spark.createDataFrame(
+        [(10, "12345678X", FY4), (10, "12345678X", FY5), (11, "87654321X", FY4),
+         (11, "87654321X", FY5)], FIRM_YEARS)
+    stocks = spark.createDataFrame([(1, "A", "A", "12345678", None, None, None, None),
+                                    (2, "B", "B", "87654321", None, None, None, None)], STOCKNAMES)
+    people = spark.createDataFrame([
+        (100, 10, "Ann Lee", FY4), (100, 10, "Ann Marry", FY5),  # renamed: not Lee any more
+        (100, 11, "Ann Lee", FY4), (101, 10, "Bob Roy", FY5), (101, 11, "Bob Roy", FY5),
+        (102, 11, "Bea Roy", FY4), (None, 11, "No Id", FY4)], EXECUTIVES)
+    speakers = spark.createDataFrame([
+        spoken("f", n, "CEO") for n in ("Ann Lee", "Bob Roy", "Zoe Roy", "No Id")], SPEAKER_DATA)
+    got = executives.link_executives(
+        calls, link, firm_years, stocks, people, people, speakers,
+        spark.createDataFrame([], EXECUTIVE_MANUAL_MATCHES))
+    got = rows(got, "speaker_name", "equilar_id", "fy_end", "executive", "match_type", "ambiguous")
+    assert sorted(got, key=repr) == sorted(
+        [("Ann Lee", e, FY4, "Ann Lee", "full name", True) for e in (10, 11)]
+        + [("Bob Roy", e, FY5, "Bob Roy", "full name", True) for e in (10, 11)]
+        + [("Bob Roy", e, FY4, "Bea Roy", "last name", True) for e in (10, 11)]
+        + [("Zoe Roy", e, y, n, "last name", True) for e in (10, 11)
+           for y, n in ((FY4, "Bea Roy"), (FY5, "Bob Roy"))]
+        + [("No Id", e, FY5, None, "no match", True) for e in (10, 11)], key=repr)
