@@ -211,33 +211,55 @@ def _unlinked(overrides: DataFrame, sheet: DataFrame, names: DataFrame):
     return by_id, stage(rest.join(sheet, [*SPEAKER, "company_id"], "left"))
 
 
+def _ids_by(names: DataFrame, *keys: str) -> DataFrame:
+    """The newer ids of the executives with equal keys, and whether all of these have one."""
+    return stage(names.dropna(subset=list(keys)).groupBy(*keys).agg(
+        F.collect_set("executive_id").alias("ids"),
+        F.bool_and(F.col("executive_id").isNotNull()).alias("all_known")))
+
+
 def backfill_executive_ids(
     overrides: DataFrame, sheet: DataFrame, management: DataFrame
 ) -> DataFrame:
     """Manual matches with the newer executive id, by the first of four rules that finds one:
-    same management id, manual sheet, first and last name, last name."""
+    same management id, manual sheet, first and last name, last name.
+
+    A person who also meets an executive without a newer id goes on to the next rule. By name, persons
+    travel once each, and the ids of a name are listed by the last join.
+    """
     names = stage(_management_names(management))
     by_id, by_sheet = _unlinked(overrides, sheet, names)
-    person = [*SPEAKER, "company_id", "first_name", "last_name"]
+    person = [*SPEAKER, "company_id"]
+    full_name, last_name = ["company_id", "first_name", "last_name"], ["company_id", "last_name"]
+    of_full, of_last = _ids_by(names, *full_name), _ids_by(names, *last_name)
 
     by_name = stage(
-        by_sheet.filter(F.col("executive_id").isNull()).select(*person).distinct()
-        .join(names, ["company_id", "first_name", "last_name"], "left"))
-    by_last = by_name.filter(F.col("executive_id").isNull()).select(*person).join(
-        names.drop("first_name"), ["company_id", "last_name"], "left")
+        by_sheet.filter(F.col("executive_id").isNull())
+        .select(*person, "first_name", "last_name").distinct()
+        .join(of_full.drop("ids").hint("merge"), full_name, "left"))
+    by_last = by_name.filter(~F.coalesce("all_known", F.lit(False)))
+
+    # The management id is the one the manual match came with.
+    result = [*SPEAKER, "executive", "company_id", "management_id", "executive_id", "match_type",
+              "good_match", "comments", "exe_id_match"]
+    good = stage(_good(overrides).select(
+        *[c for c in result if c not in ("executive_id", "exe_id_match")]).distinct())
 
     def found(df: DataFrame, label: str) -> DataFrame:
         return df.filter(F.col("executive_id").isNotNull()).select(
-            *SPEAKER, "company_id", "executive_id", F.lit(label).alias("exe_id_match"))
+            *person, "executive_id", F.lit(label).alias("exe_id_match")).distinct().join(
+                good, person, "left").select(*result)
+
+    def listed(df: DataFrame, names: DataFrame, keys: list[str], label: str) -> DataFrame:
+        met = df.drop("all_known").join(good, person, "left").join(
+            names.filter(F.size("ids") > 0).hint("merge"), keys)
+        return met.select("*", F.explode("ids").alias("executive_id")).withColumn(
+            "exe_id_match", F.lit(label)).select(*result)
 
-    ids = reduce(DataFrame.unionByName, [
+    return reduce(DataFrame.unionByName, [
         found(by_id, BY_MANAGEMENT_ID), found(by_sheet, BY_SHEET),
-        found(by_name, BY_FULL_NAME), found(by_last, BY_LAST_NAME),
-    ]).distinct()
-    # The management id is the one the manual match came with.
-    return ids.join(_good(overrides), [*SPEAKER, "company_id"], "left").select(
-        *SPEAKER, "executive", "company_id", "management_id", "executive_id", "match_type",
-        "good_match", "comments", "exe_id_match").distinct()
+        listed(by_name, of_full, full_name, BY_FULL_NAME),
+        listed(by_last, of_last, last_name, BY_LAST_NAME)])
 
 
 def backfill_residue(overrides: DataFrame, sheet: DataFrame, management: DataFrame) -> DataFrame:

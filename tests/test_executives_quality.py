@@ -203,3 +203,24 @@ def test_one_person_in_several_firms_and_years(spark):
         + [("Zoe Roy", e, y, n, "last name", True) for e in (10, 11)
            for y, n in ((FY4, "Bea Roy"), (FY5, "Bob Roy"))]
         + [("No Id", e, FY5, None, "no match", True) for e in (10, 11)], key=repr)
+
+
+def test_ids_of_a_name_are_listed_after_the_last_exchange(spark):
+    """A person who meets executives with and without a newer id goes on to the last name, once."""
+    manual = spark.createDataFrame([
+        ("f", "Full Name", "E", 1, 52, "m", True, None),
+        ("f", "Full Name", "E", 1, 53, "m", True, None)], EXECUTIVE_MANUAL_MATCHES)
+    staff = spark.createDataFrame([
+        (1, 70, 902, "FULL", "NAME", None, None), (1, 71, None, "FULL", "NAME", None, None),
+        (1, 72, None, "FULL", "NAME", None, None), (1, 73, 904, "ANY", "NAME", None, None),
+        (1, 74, 904, "ANY", "NAME", None, None)], PROXY_MANAGEMENT)
+    got = executives.backfill_executive_ids(
+        manual, spark.createDataFrame([], MANUAL_ADD_EXECUTIVE_ID), staff)
+    assert rows(got, "management_id", "executive_id", "exe_id_match") == [
+        (m, e, rule) for m in (52, 53) for e, rule in (
+            (902, "(company_id, fname, lname)"), (902, "(company_id, lname)"),
+            (904, "(company_id, lname)"))]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    before, listed, _ = plan.partition("Generate explode(ids")
+    above = before.rsplit("ExistingRDD", 1)[-1]
+    assert listed and "Exchange" not in above and "Aggregate" not in above
