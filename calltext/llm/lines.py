@@ -4,7 +4,7 @@ A line's hash decides whether a chunk ends with it, so a passage is cut alike wh
 however many lines were put in before it. Chunks that repeat are found by digest; each is then grown
 over the lines before and after it as long as they equal those around its first copy, so that what is
 removed does not depend on where the cuts fell. Runs of several lines whose bytes equal those of the
-first copy go.
+first copy, by their SHA-256, go.
 """
 
 from __future__ import annotations
@@ -89,15 +89,16 @@ def _grown(pairs: DataFrame, hashed: DataFrame, least: int) -> DataFrame:
 
 
 def _texts_of(spans: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(_key, _hash, from, to, bytes)`` of the lines of distinct ``spans``; texts are dealt out once."""
+    """``(_key, _hash, from, to, bytes)`` of the lines of ``spans``, ``bytes`` being the SHA-256 of what
+    stands there: runs overlap, so their bytes may be many times the text."""
     places = spans.groupBy("_key", "_hash").agg(F.collect_set(F.struct("from", "to")).alias("_places"))
-    # Texts are split once: a column that is read twice is not put in where it is used.
-    parted = rows.dropDuplicates(["_key", "_hash"]).join(places, ["_key", "_hash"]).withColumn(
-        "_lines", F.split("_text", SPLIT, -1))
+    # Texts are split once: a column that is read twice is not put in where it is used. Rows with one key
+    # and text give the same digests, so they are made distinct without their text.
+    parted = rows.join(places, ["_key", "_hash"]).withColumn("_lines", F.split("_text", SPLIT, -1))
     return parted.select("_key", "_hash", F.explode(F.transform("_places", lambda c: F.struct(
-        c["from"].alias("from"), c["to"].alias("to"), F.array_join(F.slice(
-            "_lines", c["from"] + 1, c["to"] - c["from"]), SPLIT).alias("bytes")))).alias("c")).select(
-                "_key", "_hash", "c.*")
+        c["from"].alias("from"), c["to"].alias("to"), F.unhex(F.sha2(F.array_join(F.slice(
+            "_lines", c["from"] + 1, c["to"] - c["from"]), SPLIT), 256)).alias("bytes")))).alias("c")).select(
+                "_key", "_hash", "c.*").distinct()
 
 
 def _union(spans: Column) -> Column:
@@ -120,7 +121,7 @@ def without_repeated_chunks(
 
     Chunks travel as a digest of their line hashes and their place. Of those that repeat, each meets
     the line hashes of its own text and of its first copy, and grows over equal neighbours; then the
-    bytes of grown runs and of their first copies are compared. Frequent chunks are summed by each task
+    SHA-256 of grown runs and of their first copies are compared. Frequent chunks are summed by each task
     first, and what many rows are joined with is staged, so that adaptive execution can split them.
 
     Keys are whole numbers; a null key comes after all others. Rows with one key do not remove each

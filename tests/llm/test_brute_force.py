@@ -244,6 +244,16 @@ def test_many_copies_of_one_line(spark):
     assert {r["n_removed"]: r["count"] for r in got} == {0: 1, 2: 2, 3: 2997}
 
 
+def test_runs_travel_as_digests(spark):
+    """Overlapping runs of a long text are no rows of their bytes, and its copies no further rows."""
+    text = "\n".join(["long line " * 500] * 9)
+    rows = spark.createDataFrame([(1, 5, text)] * 2, "_key long, _hash long, _text string")
+    spans = spark.createDataFrame([(1, 5, i, 9) for i in range(8)], "_key long, _hash long, from int, to int")
+    got = {r["from"]: bytes(r["bytes"]) for r in lines._texts_of(spans, rows).collect()}
+    assert lines._texts_of(spans, rows).count() == 8
+    assert got == {i: hashlib.sha256("\n".join(text.split("\n")[i:]).encode()).digest() for i in range(8)}
+
+
 @pytest.mark.parametrize("hot", [40_000, 2])
 def test_super_kmers(spark, docs, monkeypatch, hot):
     monkeypatch.setattr(substrings, "HOT_COUNT", hot)
