@@ -264,3 +264,65 @@ def test_no_registered_text_query_shuffles_its_texts(spark):
                 assert "text#" not in line
         if name in ("number_count", "sentence_split", "word_stats", "forward_looking_share"):
             assert "Exchange" not in plan
+
+
+def _no_broadcast(monkeypatch):
+    from calltext.operators import staging
+
+    monkeypatch.setattr(
+        features, "broadcast_if_small", lambda df: staging.broadcast_if_small(df, limit=0))
+
+
+def _shuffled(monkeypatch, build):
+    """Plans of what ``build`` stages, and its rows."""
+    plans, stage = [], features.stage
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df)
+
+    monkeypatch.setattr(features, "stage", seen, raising=False)
+    got = rows(build())
+    return [plan for plan in plans if "Join" in plan], got
+
+
+@pytest.mark.parametrize("query", [0, 1], ids=["tone", "syllables"])
+def test_runs_of_tokens_travel_beside_a_large_lexicon(spark, monkeypatch, query):
+    spoken = spark.createDataFrame(
+        [(1, "a loss, a Loss loss"), (1, "a loss, a Loss loss"), (2, None), (2, ""), (3, "gain")],
+        "k int, t string")
+    lex = lexicon(spark, ("negative", "loss"), ("positive", "gain"), ("uncertainty", "loss"))
+    syllables = spark.createDataFrame([("loss", 1), ("gain", 3), ("a", 1)], "word string, n_syllables int")
+    build = [
+        lambda: features.tone_counts(spoken, lex, "t"),
+        lambda: features.syllable_json(features.syllable_features(spoken, syllables, "t"))][query]
+    expected = rows(build())
+    _no_broadcast(monkeypatch)
+    plans, got = _shuffled(monkeypatch, build)
+    assert got == expected
+    # The join's inputs are dealt as runs, before they are taken apart, and not once more.
+    assert len(plans) == 1 and "BroadcastHashJoin" not in plans[0]
+    dealt = [line for line in plans[0].splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("word#" in line for line in dealt)
+    assert sum("REPARTITION_BY_NUM" in line for line in dealt) == 2
+
+
+@pytest.mark.parametrize("limit", [1, 40, 10**9])
+def test_parts_of_a_lexicon_give_the_same(spark, monkeypatch, limit):
+    _no_broadcast(monkeypatch)
+    monkeypatch.setattr(features, "BROADCAST_BYTES", limit, raising=False)
+    lex = lexicon(spark, *[("positive", f"w{i}") for i in range(0, 40, 2)], ("negative", "w2-w3 w4"),
+                  ("negative", "w2-w3"), ("litigious", "\U0001d4b3x"), ("positive", ""))
+    spoken = texts(spark, " ".join(f"w{i % 45}" for i in range(200)), "w2-w3 w4, w2 w3", "\U0001d4b3x \ue000w2",
+                   None)
+    got = rows(features.tone_counts(spoken, lex), "k", "positive", "negative", "litigious")
+    assert got == [(0, 90, 0, 0), (1, 3, 2, 0), (2, 1, 0, 1), (3, None, None, None)]
+
+
+def test_large_lexicon_keeps_passages_with_null_columns_apart(spark, monkeypatch):
+    _no_broadcast(monkeypatch)
+    spoken = spark.createDataFrame(
+        [("a", None, "loss"), (None, "a", "loss"), (None, "a", "loss"), (None, None, "gain loss loss")],
+        "x string, y string, t string")
+    got = rows(features.tone_counts(spoken, lexicon(spark, ("negative", "loss")), "t"), "x", "y", "negative")
+    assert got == [(None, None, 2), (None, "a", 1), (None, "a", 1), ("a", None, 1)]
