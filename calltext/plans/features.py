@@ -411,6 +411,31 @@ def syllable_json(df: DataFrame, column: str = "syllable_data") -> DataFrame:
     return df.withColumn(column, F.to_json(column))
 
 
+def _long_words_by_parts(
+    passages: DataFrame, chosen: DataFrame, text: str, carry: Sequence[str], longer_than: int
+) -> DataFrame:
+    """``long_words`` by a lexicon that is too large for a broadcast: words travel with their places."""
+    base = passages.select(*carry, text, words(text).alias("__words"))
+    placed = F.filter(
+        F.transform("__words", lambda w, place: F.concat(
+            F.lower(w), F.lit(_PLACED), place.cast("string"))),
+        lambda item: F.length(F.substring_index(item, _PLACED, 1)) > longer_than)
+    # Identical passages give each item several times; sets hold it once.
+    gathered = _met(base, carry, text, placed, chosen).groupBy("__key").agg(
+        F.first("__carried", ignorenulls=True).alias("__carried"),
+        F.count(F.when(F.col("__carried").isNotNull(), 1)).cast("int").alias("__copies"),
+        F.collect_set(F.when(F.col("__carried").isNull(), F.col("__item"))).alias("__found"))
+    with _beside_each_other(passages.sparkSession):
+        gathered = stage(gathered)
+    in_order = F.array_sort(F.transform("__found", lambda item: F.struct(
+        F.substring_index(item, _PLACED, -1).cast("int").alias("pos"),
+        F.substring_index(item, _PLACED, 1).alias("word"))))
+    return _copies(gathered.select(
+        *_unpacked(carry), "__copies",
+        F.when(~F.col("__carried")["__null"], F.transform(in_order, lambda e: e["word"])
+               ).alias("long_words")))
+
+
 def long_words(
     passages: DataFrame, lexicon: DataFrame, text: str = "speaker_text",
     carry: Sequence[str] | None = None, syllables: int = 3, longer_than: int = 3,
@@ -422,6 +447,8 @@ def long_words(
         lexicon.filter((F.col("n_syllables") >= syllables) & (F.length("word") > longer_than))
         .select("word")
     )
+    if not is_broadcast(chosen):
+        return _long_words_by_parts(passages, chosen, text, carry, longer_than)
     # Identical passages give each word at each place several times; it is counted before the words
     # of a passage are gathered, so that no row grows with the number of copies.
     counted = (

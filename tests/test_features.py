@@ -286,7 +286,7 @@ def _shuffled(monkeypatch, build):
     return [plan for plan in plans if "Join" in plan], got
 
 
-@pytest.mark.parametrize("query", [0, 1], ids=["tone", "syllables"])
+@pytest.mark.parametrize("query", [0, 1, 2], ids=["tone", "syllables", "long words"])
 def test_runs_of_tokens_travel_beside_a_large_lexicon(spark, monkeypatch, query):
     spoken = spark.createDataFrame(
         [(1, "a loss, a Loss loss"), (1, "a loss, a Loss loss"), (2, None), (2, ""), (3, "gain")],
@@ -295,7 +295,8 @@ def test_runs_of_tokens_travel_beside_a_large_lexicon(spark, monkeypatch, query)
     syllables = spark.createDataFrame([("loss", 1), ("gain", 3), ("a", 1)], "word string, n_syllables int")
     build = [
         lambda: features.tone_counts(spoken, lex, "t"),
-        lambda: features.syllable_json(features.syllable_features(spoken, syllables, "t"))][query]
+        lambda: features.syllable_json(features.syllable_features(spoken, syllables, "t")),
+        lambda: features.long_words(spoken, syllables, "t")][query]
     expected = rows(build())
     _no_broadcast(monkeypatch)
     plans, got = _shuffled(monkeypatch, build)
