@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructType
 
 from calltext.operators.incremental import of_todo_files, todo
 from calltext.operators.staging import stage
-from calltext.plans.features import passage_features, syllable_features
+from calltext.plans.features import passage_features, syllable_features, tone_levels
 from calltext.schemas import LINGUISTIC_FEATURES, SYLLABLE_DATA, TONE_CATEGORIES
 from calltext.sources.keyed import create_keyed_if_absent, replace_keys, rows_of_keys
 from calltext.sources.writers import append_table, create_if_absent
@@ -124,8 +124,10 @@ def stream_linguistic_features(
     from there. ``checkpoint`` is a folder that all executors see. The table is the one that
     ``run_linguistic_features`` makes of the same calls: the files of a batch are computed whole,
     and one that an earlier batch worked on is not taken again."""
+    levels = tone_levels(lexicon)
+
     def work(batch: DataFrame) -> None:
-        run_linguistic_features(batch, speaker_data, lexicon, table, buckets=buckets)
+        run_linguistic_features(batch, speaker_data, levels, table, buckets=buckets)
 
     return (
         calls.writeStream.foreachBatch(once_per_batch(work, table, stream))

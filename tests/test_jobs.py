@@ -121,3 +121,20 @@ def test_an_older_table_gives_its_keys_to_the_record_once(spark):
     spark.sql("DROP TABLE old_job_done")
     assert rows(run_linguistic_features(calls, spoken, lexicon, "old_job"), "file_name") == [("b",)]
     assert rows(spark.table("old_job_done"), "file_name") == [("a",), ("b",)]
+
+
+def test_stream_makes_its_lexicon_once(spark, tmp_path, monkeypatch):
+    from calltext.plans import features
+
+    made, trie = [], features.token_trie
+    monkeypatch.setattr(features, "token_trie", lambda *a: made.append(1) or trie(*a))
+    lexicon = spark.createDataFrame([("negative", "loss")], "category string, word string")
+    spoken = _spoken(spark, ("a", V1, 1, "loss"), ("b", V1, 1, "loss loss"))
+    arriving = str(tmp_path / "calls")
+    for name in ("a", "b"):
+        _calls(spark, (name, V1, 1)).coalesce(1).write.mode("append").parquet(arriving)
+    stream_linguistic_features(
+        read_arriving(spark, arriving, CALLS, files=1), spoken, lexicon, "once_stream",
+        str(tmp_path / "kept"), buckets=4).awaitTermination()
+    assert rows(spark.table("once_stream"), "file_name", "negative") == [("a", 1), ("b", 2)]
+    assert len(made) == 1
