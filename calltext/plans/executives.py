@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,8 +58,9 @@ def executive_speakers(speaker_data: DataFrame, overrides: DataFrame) -> DataFra
 
 
 def staff_classes(executives: DataFrame) -> DataFrame:
-    """Executives of one firm-year with one name, as a row: ``staff_id, equilar_id, fy_end, last_name,
-    first_name`` (upper case), ``later, rivals, people, n``. It is staged, which fixes the ids.
+    """Executives of one firm-year with one name, as a row: ``staff_id, equilar_id, fy_end, executive,
+    last_name, first_name`` (upper case), ``later, rivals, people, n``. It is staged, which fixes the
+    ids, and names are taken apart once a row, after the rows are made.
 
     An executive of a firm counts in the latest firm-year that fits a call: ``later`` are the years
     in which the firm has the executive again, under whatever name. One who is with several firms in
@@ -68,19 +70,20 @@ def staff_classes(executives: DataFrame) -> DataFrame:
     known = executives.dropna(subset=[*ids, "fy_end"])
     name = parse_name("executive")
     years = known.groupBy(*ids).agg(F.collect_set("fy_end").alias("__years"))
-    named = known.join(years, ids).withColumns({
-        "first_name": F.upper(name["first_name"]), "last_name": F.upper(name["last_name"]),
-        "later": F.array_sort(F.filter("__years", lambda year: year > F.col("fy_end"))),
-    }).filter(F.col("last_name").isNotNull())
+    held = known.join(years, ids).withColumn(
+        "later", F.array_sort(F.filter("__years", lambda year: year > F.col("fy_end"))))
     person = ["equilar_executive_id", "executive", "fy_end"]
-    firms = named.groupBy(*person).agg(
+    firms = held.groupBy(*person).agg(
         F.collect_set(F.struct("equilar_id", "later")).alias("__firms"))
     rivals = F.filter("__firms", lambda firm: firm["equilar_id"] < F.col("equilar_id"))
-    classes = named.join(firms, person).withColumn("rivals", F.array_sort(rivals)).groupBy(
-        "equilar_id", "fy_end", "last_name", "first_name", "later", "rivals").agg(
-            F.collect_list(F.struct("executive", "equilar_executive_id")).alias("people"))
+    classes = held.join(firms, person).withColumn("rivals", F.array_sort(rivals)).groupBy(
+        "equilar_id", "fy_end", "executive", "later", "rivals").agg(
+            F.collect_list("equilar_executive_id").alias("people"))
+    # The filter comes after the staging, or it would take apart the name of every row read.
     return stage(classes.withColumns({
-        "n": F.size("people"), "staff_id": F.monotonically_increasing_id()}))
+        "first_name": F.upper(name["first_name"]), "last_name": F.upper(name["last_name"]),
+        "n": F.size("people"), "staff_id": F.monotonically_increasing_id(),
+    })).filter(F.col("last_name").isNotNull())
 
 
 def staff_on_calls(speakers: DataFrame, matched_calls: DataFrame, staff: DataFrame) -> DataFrame:
@@ -105,7 +108,7 @@ def staff_on_calls(speakers: DataFrame, matched_calls: DataFrame, staff: DataFra
                         & F.array_contains(f["years"], F.col("fy_end"))
                         & ~F.arrays_overlap(f["years"], firm["later"]))
 
-    found = asked.join(staff.drop("people").hint("merge"), ["equilar_id", "fy_end", "last_name"]).filter(
+    found = asked.join(staff.drop("executive", "people").hint("merge"), ["equilar_id", "fy_end", "last_name"]).filter(
         ~F.arrays_overlap("years", "later") & ~F.exists("rivals", counted)).select(
             *SPEAKER, "fy_end", "staff_id", "n",
             F.coalesce(F.col("first_name") == F.col("__first"), F.lit(False)).alias("__full"))
@@ -116,6 +119,38 @@ def staff_on_calls(speakers: DataFrame, matched_calls: DataFrame, staff: DataFra
         F.when(F.col("__full"), "full name").otherwise("last name").alias("match_type"))
 
 
+# Rows of a result that a task lists, and the tasks up to which that holds.
+LISTED_ROWS = 2_000_000
+LISTING_TASKS = 4_096
+
+
+def list_staff(rows: DataFrame, staff: DataFrame) -> DataFrame:
+    """``rows``, which are staged, once for each of the ``n`` executives of their class ``staff_id``.
+
+    Spark deals a join out by the bytes it reads, which say nothing of the rows that lists make. So the
+    tasks are as many as the result asks for, and a class that lists more than one task's rows has them
+    dealt out in slices, each beside a copy of its list. Such classes are at most as many as tasks.
+    """
+    session = rows.sparkSession
+    weights = stage(rows.groupBy("staff_id").agg((F.count("*") * F.max("n")).alias("weight")))
+    total = weights.agg(F.sum("weight")).first()[0] or 0
+    most = max(LISTING_TASKS, int(session.conf.get("spark.sql.shuffle.partitions")))
+    share = max(LISTED_ROWS, ceil(total / most))
+    tasks = max(1, ceil(total / share))
+    heavy = F.broadcast(weights.filter(F.col("weight") > share).select(
+        "staff_id", F.ceil(F.col("weight") / share).cast("int").alias("__slices")))
+    key = ["staff_id", "__slice"]
+    slices = F.coalesce("__slices", F.lit(1))
+    dealt = rows.join(heavy, "staff_id", "left").withColumn(
+        "__slice", F.pmod(F.hash(*SPEAKER), slices).cast("int"))
+    lists = staff.select("staff_id", "executive", "people").join(heavy, "staff_id", "left").select(
+        "staff_id", "executive", "people",
+        F.explode(F.sequence(F.lit(0), slices - 1)).alias("__slice"))
+    return dealt.drop("__slices").repartition(tasks, *key).join(
+        lists.repartition(tasks, *key).hint("merge"), key).select(
+            "*", F.explode("people").alias("equilar_executive_id")).drop("people", "__slice")
+
+
 def link_executives(
     calls: DataFrame, link: DataFrame, firm_years: DataFrame, stocknames: DataFrame,
     executives: DataFrame, executives_nd: DataFrame, speaker_data: DataFrame, overrides: DataFrame,
@@ -160,14 +195,12 @@ def link_executives(
         .unionByName(none.select("*", one), allowMissingColumns=True)
         .unionByName(matched, allowMissingColumns=True))
     ambiguous = matches.groupBy(*SPEAKER).agg((F.sum("n") > 1).alias("ambiguous"))
-    known = matches.join(ambiguous, SPEAKER).join(
-        calls.select("file_name", "event_type"), "file_name")
+    known = stage(matches.join(ambiguous, SPEAKER).join(
+        calls.select("file_name", "event_type"), "file_name"))
     result = [*MATCH_COLUMNS, "ambiguous", "event_type"]
-    listed = known.drop("executive", "equilar_executive_id").join(
-        staff.select("staff_id", "people").hint("merge"), "staff_id").withColumn(
-            "__person", F.explode("people")).select("*", "__person.*")
+    of_staff = known.filter(F.col("staff_id").isNotNull()).drop("executive", "equilar_executive_id")
     return known.filter(F.col("staff_id").isNull()).select(*result).unionByName(
-        listed.select(*result))
+        list_staff(of_staff, staff).select(*result))
 
 
 def ambiguous_speakers_of(matches: DataFrame) -> DataFrame:

@@ -224,3 +224,47 @@ def test_ids_of_a_name_are_listed_after_the_last_exchange(spark):
     before, listed, _ = plan.partition("Generate explode(ids")
     above = before.rsplit("ExistingRDD", 1)[-1]
     assert listed and "Exchange" not in above and "Aggregate" not in above
+
+
+def _crowd(spark, people, speakers):
+    """A speaker in each call, all with one firm-year, in which all executives have the last name."""
+    names = spark.range(people).selectExpr(
+        "cast(id AS int) AS equilar_executive_id", "10 AS equilar_id", "'Ann Lee' AS executive",
+        f"DATE '{FY5}' AS fy_end")
+    calls = spark.createDataFrame([call(f"f{i}", V1) for i in range(speakers)], CALLS)
+    link = calls.selectExpr("file_name", "1 AS permno")
+    firm_years = spark.createDataFrame([(10, "12345678X", FY5)], FIRM_YEARS)
+    stocks = spark.createDataFrame(
+        [(1, "A", "A", "12345678", None, None, None, None)], STOCKNAMES)
+    said = spark.createDataFrame([spoken(f"f{i}", "Zoe Lee", "CEO") for i in range(speakers)], SPEAKER_DATA)
+    manual = spark.createDataFrame([], EXECUTIVE_MANUAL_MATCHES)
+    return executives.link_executives(
+        calls, link, firm_years, stocks, names, names.limit(0), said, manual)
+
+
+def test_a_listing_is_dealt_out_by_the_rows_it_makes(spark, monkeypatch):
+    """40 calls meet one class of 50: 2,000 rows, of which a task is to list about 100."""
+    monkeypatch.setattr(executives, "LISTED_ROWS", 100, raising=False)
+    from pyspark.sql import functions as F
+
+    got = _crowd(spark, 50, 40)
+    assert got.select("file_name", "equilar_executive_id").distinct().count() == got.count() == 2000
+    tasks = got.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()
+    assert tasks[0] >= 8 and tasks[1] <= 600
+
+
+def test_names_of_executives_are_taken_apart_after_they_are_gathered(spark, monkeypatch):
+    """Not for every row that is read, in the tasks that read them."""
+    staged = []
+
+    def kept(df, real=executives.stage):
+        staged.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(executives, "stage", kept)
+    people = spark.createDataFrame([(100, 10, "Ann Lee", FY4), (101, 10, None, FY4)], EXECUTIVES)
+    classes = executives.staff_classes(people.distinct())
+    assert rows(classes, "last_name", "n") == [("LEE", 1)]
+    (plan,) = staged
+    _, gathered, below = plan.partition("Aggregate(")
+    assert gathered and "regexp" not in below
